@@ -1,0 +1,39 @@
+"""Join helpers: broadcast only behind a checked size, shuffle otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Default ceiling for a broadcast side.  Dimension rows here are a handful of
+# short columns (<100 bytes), so 2M rows stays far below executor memory.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows.
+
+    ``limit(n + 1).count()`` stops reading once the ceiling is passed, so a
+    large input costs only the scan needed to prove it is large.
+    """
+    return df.limit(limit + 1).count() <= limit
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when its row count is proven small.
+
+    Beyond the ceiling the frame is returned unchanged and the planner keeps a
+    shuffle join (sort-merge, with AQE free to re-plan or split skew).
+    """
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def join_dim(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Column | list[str] | str,
+    how: str = "inner",
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """Fact ⋈ dimension with a size-checked broadcast of the dimension."""
+    return fact.join(sized_broadcast(dim, max_rows), on=on, how=how)
