@@ -10,16 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actuaria.plans import stakeholder
+from actuaria.plans import reporting, stakeholder
 from actuaria.plans.store import lake
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_current(fn, needs_as_of: bool) -> QueryFn:
+def _bind(fn, table: str, needs_as_of: bool) -> QueryFn:
+    """Wrap a catalogue function taking a frame (and ``as_of``) into (spark, sf_dir)."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lk = lake(spark, sf_dir)
-        return fn(lk.fact_current(), lk.as_of) if needs_as_of else fn(lk.fact_current())
+        src = {"current": lk.fact_current, "legacy": lk.fact_legacy, "silver": lk.silver}[table]()
+        return fn(src, lk.as_of) if needs_as_of else fn(src)
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -28,6 +31,10 @@ def _on_current(fn, needs_as_of: bool) -> QueryFn:
 
 def catalogue() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
+    for key, fn in reporting.LEGACY.items():
+        out[key] = _bind(fn, "legacy", False)
+    for key, fn in reporting.SILVER.items():
+        out[key] = _bind(fn, "silver", False)
     for key, fn in stakeholder.QUERIES.items():
-        out[key] = _on_current(fn, key in stakeholder.NEEDS_AS_OF)
+        out[key] = _bind(fn, "current", key in stakeholder.NEEDS_AS_OF)
     return out
