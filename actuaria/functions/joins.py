@@ -19,13 +19,16 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast when its row count is proven small.
 
+    ``rows`` is a count already known (e.g. observed while the table was
+    written); without it the count is checked with a bounded ``limit`` scan.
     Beyond the ceiling the frame is returned unchanged and the planner keeps a
     shuffle join (sort-merge, with AQE free to re-plan or split skew).
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    small = rows <= max_rows if rows is not None else row_count_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def join_dim(

@@ -9,9 +9,9 @@ catalogues query: one row per premium, territory columns from a left join on
 the geo id, ``'Unknown'`` when no territory matched, census by geo id.
 
 Both only ever join the (large) premiums side to dimensions whose row count
-is checked before they are broadcast, so the fact side is never shuffled
-while the dimensions stay small; past the ceiling the planner falls back to a
-shuffle join.
+is known (observed when the dimension was written) or checked before they are
+broadcast, so the fact side is never shuffled while the dimensions stay
+small; past the ceiling the planner falls back to a shuffle join.
 """
 
 from __future__ import annotations
@@ -79,26 +79,32 @@ def census_dim(dp03: DataFrame, dp05: DataFrame) -> tuple[DataFrame, DataFrame]:
     return d3, d5
 
 
-def current_dim(territory: DataFrame, dp03: DataFrame, dp05: DataFrame) -> DataFrame:
-    """Territory enriched with census through its zip code (dimension-side joins)."""
-    for df, role in ((territory, "territory"), (dp03, "dp03"), (dp05, "dp05")):
-        require_columns(df, role)
-    d3, d5 = census_dim(dp03, dp05)
-    t = territory.select("territory", "area", "town", "county", "zipcode")
-    zkey = geo_key(F.col("zipcode"))
-    return (
-        t.join(sized_broadcast(d3), zkey == F.col("_g3"), "left")
-        .join(sized_broadcast(d5), zkey == F.col("_g5"), "left")
-        .drop("_g3", "_g5")
-    )
+def _rows(rows: dict[str, int] | None, name: str) -> int | None:
+    return None if rows is None else rows.get(name)
+
 
+def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame,
+                 rows: dict[str, int] | None = None) -> DataFrame:
+    """Premiums ⋈ territory (inner, integer key) ⟕ DP03 ⟕ DP05 via the zip.
 
-def fact_current(premiums: DataFrame, dim: DataFrame) -> DataFrame:
-    """Premiums ⋈ territory (inner, on the integer territory) + census."""
-    require_columns(premiums, "premiums")
+    All three joins are broadcast hash joins on the premiums side when the
+    dimension counts are under the ceiling: the fact is scanned once and
+    never shuffled.  Territories with two towns fan premiums out (kept).
+    """
+    for df, role in ((premiums, "premiums"), (territory, "territory"), (dp03, "dp03"), (dp05, "dp05")):
+        require_columns(df, role)
+    d3, d5 = census_dim(dp03, dp05)
     p = premiums.select(*PREMIUM_COLUMNS, F.col("territory").try_cast("int").alias("_pt"))
-    d = dim.withColumn("_dt", F.col("territory").try_cast("int"))
-    joined = p.join(sized_broadcast(d), F.col("_pt") == F.col("_dt"), "inner")
+    t = territory.select(
+        "territory", "area", "town", "county", "zipcode",
+        F.col("territory").try_cast("int").alias("_tt"),
+        geo_key(F.col("zipcode")).alias("_tz"),
+    )
+    joined = (
+        p.join(sized_broadcast(t, rows=_rows(rows, "territory")), F.col("_pt") == F.col("_tt"), "inner")
+        .join(sized_broadcast(d3, rows=_rows(rows, "dp03")), F.col("_tz") == F.col("_g3"), "left")
+        .join(sized_broadcast(d5, rows=_rows(rows, "dp05")), F.col("_tz") == F.col("_g5"), "left")
+    )
     return joined.select(*CURRENT_COLUMNS)
 
 
@@ -117,15 +123,20 @@ def legacy_territory(territory: DataFrame) -> DataFrame:
     )
 
 
-def fact_legacy(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame) -> DataFrame:
-    """Premiums ⟕ territory ⟕ DP03 ⟕ DP05, all on the geo id; 'Unknown' label."""
+def fact_legacy(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame,
+                rows: dict[str, int] | None = None) -> DataFrame:
+    """Premiums ⟕ territory ⟕ DP03 ⟕ DP05, all on the geo id; 'Unknown' label.
+
+    The grouped territory has at most as many rows as the territory table,
+    so the territory count bounds its broadcast as well.
+    """
     d3, d5 = census_dim(dp03, dp05)
     lt = legacy_territory(territory)
     p = premiums.withColumn("_geo", geo_key(F.col("GEO_id")))
     joined = (
-        p.join(sized_broadcast(lt), F.col("_geo") == F.col("_gz"), "left")
-        .join(sized_broadcast(d3), F.col("_geo") == F.col("_g3"), "left")
-        .join(sized_broadcast(d5), F.col("_geo") == F.col("_g5"), "left")
+        p.join(sized_broadcast(lt, rows=_rows(rows, "territory")), F.col("_geo") == F.col("_gz"), "left")
+        .join(sized_broadcast(d3, rows=_rows(rows, "dp03")), F.col("_geo") == F.col("_g3"), "left")
+        .join(sized_broadcast(d5, rows=_rows(rows, "dp05")), F.col("_geo") == F.col("_g5"), "left")
     )
     return joined.withColumn(
         "territory_label", F.coalesce(F.col("_label"), F.lit(UNKNOWN_TERRITORY))

@@ -4,9 +4,10 @@ The reference rebuilds its gold table once a day and points every report at
 it.  Here the same happens per Spark application: the first query on a
 source folder writes
 
-* ``dims/{territory,dp03,dp05}``      small dimension tables
+* ``silver/{territory,dp03,dp05}``    small dimension tables (row counts
+                                      observed while writing)
 * ``silver/premiums``                 partitioned by ``batch_id``
-* ``gold/fact_current``, ``gold/fact_legacy``  partitioned by ``batch_id``
+* ``gold/fact_current``, ``gold/fact_legacy``  full rebuilds
 
 under the session's shared checkpoint folder, and every later query reads the
 written parquet (column pruning and pushed filters apply, and a lost executor
@@ -20,7 +21,8 @@ import os
 import threading
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from actuaria.constants import AS_OF
 from actuaria.plans import gold
@@ -38,11 +40,24 @@ class Lake:
     root: str
     as_of: object = AS_OF
     built: bool = field(default=False)
+    rows: dict = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
     # -- build ---------------------------------------------------------------
+    def _write(self, df: DataFrame, parts: tuple[str, ...], partition_by: str | None = None,
+               overwrite: str = "static") -> int:
+        """Write ``df`` as parquet and return its row count, observed in the
+        same job (no second pass over the data)."""
+        obs = Observation("rows_" + "_".join(parts))
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        w = w.option("partitionOverwriteMode", overwrite)
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(self.path(*parts))
+        return int(obs.get["rows"])
+
     def build(self) -> "Lake":
         spark, src = self.spark, self.sf_dir
         for name, df in (
@@ -50,38 +65,26 @@ class Lake:
             ("dp03", binding.census_dp03(spark, src)),
             ("dp05", binding.census_dp05(spark, src)),
         ):
-            df.coalesce(1).write.mode("overwrite").parquet(self.path("dims", name))
-
-        (
-            binding.premiums(spark, src)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(self.path("silver", "premiums"))
+            self.rows[name] = self._write(df.coalesce(1), ("silver", name))
+        # Premiums land per batch: a rerun replaces only the batches it carries.
+        self.rows["premiums"] = self._write(
+            binding.premiums(spark, src), ("silver", "premiums"), partition_by="batch_id", overwrite="dynamic"
         )
         silver = self.silver()
         terr, d3, d5 = self.dim("territory"), self.dim("dp03"), self.dim("dp05")
-        # Gold is a full rebuild (static overwrite), never reading what it replaces.
-        (
-            gold.fact_current(silver, gold.current_dim(terr, d3, d5))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("batch_id")
-            .parquet(self.path("gold", "fact_current"))
+        # Gold is a full rebuild (static overwrite) that never reads what it replaces.
+        self.rows["fact_current"] = self._write(
+            gold.fact_current(silver, terr, d3, d5, self.rows), ("gold", "fact_current")
         )
-        (
-            gold.fact_legacy(silver, terr, d3, d5)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("batch_id")
-            .parquet(self.path("gold", "fact_legacy"))
+        self.rows["fact_legacy"] = self._write(
+            gold.fact_legacy(silver, terr, d3, d5, self.rows), ("gold", "fact_legacy")
         )
         self.built = True
         return self
 
     # -- read ----------------------------------------------------------------
     def dim(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("dims", name))
+        return self.spark.read.parquet(self.path("silver", name))
 
     def silver(self) -> DataFrame:
         return self._ordered(self.spark.read.parquet(self.path("silver", "premiums")), "premiums")

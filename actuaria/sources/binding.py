@@ -53,8 +53,12 @@ def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
+    # Both sides hash-partitioned on the order key: exactly the exchange a
+    # sort-merge join needs at scale (no extra shuffle), and it spreads a
+    # single large input file over all tasks for the join and the write.
     joined = (
-        li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+        li.repartition("l_orderkey")
+        .join(od.repartition("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
         .join(sized_broadcast(su), F.col("l_suppkey") == F.col("s_suppkey"), "inner")
     )
 
