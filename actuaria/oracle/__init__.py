@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from actuaria.oracle.prelude import with_prelude
+from actuaria.oracle.monitoring_sql import SQL as _MON
+from actuaria.oracle.quality_sql import SQL as _DQ
 from actuaria.oracle.reporting_sql import SQL as _RPT
 from actuaria.oracle.stakeholder_sql import SQL as _STK
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (_RPT, _STK):
+    for part in (_RPT, _DQ, _MON, _STK):
         for key, text in part.items():
             out[key] = with_prelude(text)
     return out

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actuaria.plans import reporting, stakeholder
+from actuaria.plans import monitoring, quality, reporting, stakeholder
 from actuaria.plans.store import lake
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def catalogue() -> dict[str, QueryFn]:
         out[key] = _bind(fn, "legacy", False)
     for key, fn in reporting.SILVER.items():
         out[key] = _bind(fn, "silver", False)
+    for key, fn in quality.LEGACY.items():
+        out[key] = _bind(fn, "legacy", key in quality.NEEDS_AS_OF)
+    for key, fn in quality.SILVER.items():
+        out[key] = _bind(fn, "silver", False)
+    for key, fn in monitoring.LEGACY.items():
+        out[key] = _bind(fn, "legacy", key in monitoring.NEEDS_AS_OF)
     for key, fn in stakeholder.QUERIES.items():
         out[key] = _bind(fn, "current", key in stakeholder.NEEDS_AS_OF)
     return out
