@@ -6,7 +6,7 @@ source folder writes
 
 * ``silver/{territory,dp03,dp05}``    small dimension tables (row counts
                                       observed while writing)
-* ``silver/premiums``                 partitioned by ``batch_id``
+* ``silver/premiums``                 the premiums join, with lineage columns
 * ``gold/fact_current``, ``gold/fact_legacy``  full rebuilds
 
 under the session's shared checkpoint folder, and every later query reads the
@@ -66,10 +66,10 @@ class Lake:
             ("dp05", binding.census_dp05(spark, src)),
         ):
             self.rows[name] = self._write(df.coalesce(1), ("silver", name))
-        # Premiums land per batch: a rerun replaces only the batches it carries.
-        self.rows["premiums"] = self._write(
-            binding.premiums(spark, src), ("silver", "premiums"), partition_by="batch_id", overwrite="dynamic"
-        )
+        # Rebuilt whole from the sources, so written flat (batch_id stays a
+        # column): per-batch partitions only pay off where batches are
+        # reloaded one at a time, which is the landing → bronze path.
+        self.rows["premiums"] = self._write(binding.premiums(spark, src), ("silver", "premiums"))
         silver = self.silver()
         terr, d3, d5 = self.dim("territory"), self.dim("dp03"), self.dim("dp05")
         # Gold is a full rebuild (static overwrite) that never reads what it replaces.
