@@ -9,9 +9,23 @@ from actuaria.oracle.reporting_sql import SQL as _RPT
 from actuaria.oracle.stakeholder_sql import SQL as _STK
 
 
+_TABLES = {
+    "fact_current": "SELECT * FROM fact_current",
+    "fact_legacy": "SELECT * FROM fact_legacy",
+    "latest_batch": "SELECT * FROM premiums WHERE batch_id = (SELECT MAX(batch_id) FROM premiums)",
+    "schema_union": """
+SELECT batch_id, COUNT(*) AS record_count,
+  COUNT(CASE WHEN batch_id >= '1998-01' THEN cgr END) AS cgr_populated,
+  COUNT(CASE WHEN batch_id >= '1998-01' THEN cgr_factor END) AS cgr_factor_populated
+FROM premiums
+GROUP BY batch_id
+""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (_RPT, _DQ, _MON, _STK):
+    for part in (_RPT, _DQ, _MON, _STK, _TABLES):
         for key, text in part.items():
             out[key] = with_prelude(text)
     return out

@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from actuaria.plans import monitoring, quality, reporting, stakeholder
 from actuaria.plans.store import lake
+from actuaria.sources import silver
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,31 @@ def _bind(fn, table: str, needs_as_of: bool) -> QueryFn:
     return run
 
 
+def fact_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold fact as built today (inner territory join, census via zip)."""
+    return lake(spark, sf_dir).fact_current()
+
+
+def fact_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The legacy gold fact ('Unknown' territory label, census via geo id)."""
+    return lake(spark, sf_dir).fact_legacy()
+
+
+def latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver premium rows of the newest batch only."""
+    return silver.latest_batch(lake(spark, sf_dir).silver())
+
+
+def schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per batch, rows and how many carry the column added in schema v2."""
+    df = lake(spark, sf_dir).evolving_premiums()
+    return df.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.count("cgr").alias("cgr_populated"),
+        F.count("cgr_factor").alias("cgr_factor_populated"),
+    )
+
+
 def catalogue() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for key, fn in reporting.LEGACY.items():
@@ -43,4 +70,8 @@ def catalogue() -> dict[str, QueryFn]:
         out[key] = _bind(fn, "legacy", key in monitoring.NEEDS_AS_OF)
     for key, fn in stakeholder.QUERIES.items():
         out[key] = _bind(fn, "current", key in stakeholder.NEEDS_AS_OF)
+    out["fact_current"] = fact_current
+    out["fact_legacy"] = fact_legacy
+    out["latest_batch"] = latest_batch
+    out["schema_union"] = schema_union
     return out

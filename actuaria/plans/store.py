@@ -29,7 +29,8 @@ from actuaria.plans import gold
 from actuaria.session import shared_dir
 from actuaria.sources import binding
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
+EVOLVE_AT = "1998-01"  # first batch carrying the added columns (schema v2)
 _LAKES: dict[tuple[str, str], "Lake"] = {}
 
 
@@ -95,6 +96,28 @@ class Lake:
     def fact_legacy(self) -> DataFrame:
         return self._ordered(self.spark.read.parquet(self.path("gold", "fact_legacy")), "legacy")
 
+    def evolving_premiums(self) -> DataFrame:
+        """Silver premiums landed as two schema generations (S17), built once.
+
+        Batches before ``EVOLVE_AT`` arrive without the ``cgr``/``cgr_factor``
+        columns, later batches with them; both are written per batch into one
+        parquet table and read back with ``mergeSchema`` — the old batches
+        read the added columns as NULL.
+        """
+        path = self.path("silver", "premiums_evolving")
+        with _LOCK:
+            if not self.rows.get("premiums_evolving"):
+                src = self.silver()
+                old = src.where(F.col("batch_id") < EVOLVE_AT).drop("cgr", "cgr_factor")
+                new = src.where(F.col("batch_id") >= EVOLVE_AT)
+                n_old = self._write(old, ("silver", "premiums_evolving"), partition_by="batch_id",
+                                    overwrite="dynamic")
+                n_new = self._write(new, ("silver", "premiums_evolving"), partition_by="batch_id",
+                                    overwrite="dynamic")
+                self.rows["premiums_evolving"] = n_old + n_new
+        df = self.spark.read.option("mergeSchema", True).parquet(path)
+        return df.withColumn("batch_id", F.col("batch_id").cast("string"))
+
     @staticmethod
     def _ordered(df: DataFrame, kind: str) -> DataFrame:
         # Partition discovery moves batch_id last and infers its type; restore
