@@ -17,6 +17,7 @@ only re-reads files instead of re-running the joins).
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import threading
 from dataclasses import dataclass, field
@@ -42,6 +43,7 @@ class Lake:
     as_of: object = AS_OF
     built: bool = field(default=False)
     rows: dict = field(default_factory=dict)
+    _frames: dict = field(default_factory=dict, repr=False)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -87,14 +89,22 @@ class Lake:
     def dim(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path("silver", name))
 
+    def _table(self, layer: str, name: str, kind: str) -> DataFrame:
+        # One DataFrame per written table and session: the file listing and
+        # footer read happen once, every query plans on the same relation.
+        key = (layer, name)
+        if key not in self._frames:
+            self._frames[key] = self._ordered(self.spark.read.parquet(self.path(layer, name)), kind)
+        return self._frames[key]
+
     def silver(self) -> DataFrame:
-        return self._ordered(self.spark.read.parquet(self.path("silver", "premiums")), "premiums")
+        return self._table("silver", "premiums", "premiums")
 
     def fact_current(self) -> DataFrame:
-        return self._ordered(self.spark.read.parquet(self.path("gold", "fact_current")), "current")
+        return self._table("gold", "fact_current", "current")
 
     def fact_legacy(self) -> DataFrame:
-        return self._ordered(self.spark.read.parquet(self.path("gold", "fact_legacy")), "legacy")
+        return self._table("gold", "fact_legacy", "legacy")
 
     def evolving_premiums(self) -> DataFrame:
         """Silver premiums landed as two schema generations (S17), built once.
@@ -104,17 +114,19 @@ class Lake:
         parquet table and read back with ``mergeSchema`` — the old batches
         read the added columns as NULL.
         """
-        path = self.path("silver", "premiums_evolving")
+        # Written in this application's own folder (the shared lake may be a
+        # reused build of another application).
+        own = f"{shared_dir(self.spark).rstrip('/')}/actuaria-evolving/{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
+        path = f"{own}/premiums_evolving"
         with _LOCK:
-            if not self.rows.get("premiums_evolving"):
+            if not self._frames.get("evolving_built"):
                 src = self.silver()
                 old = src.where(F.col("batch_id") < EVOLVE_AT).drop("cgr", "cgr_factor")
                 new = src.where(F.col("batch_id") >= EVOLVE_AT)
-                n_old = self._write(old, ("silver", "premiums_evolving"), partition_by="batch_id",
-                                    overwrite="dynamic")
-                n_new = self._write(new, ("silver", "premiums_evolving"), partition_by="batch_id",
-                                    overwrite="dynamic")
-                self.rows["premiums_evolving"] = n_old + n_new
+                for part in (old, new):
+                    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                        .partitionBy("batch_id").parquet(path)
+                self._frames["evolving_built"] = True
         df = self.spark.read.option("mergeSchema", True).parquet(path)
         return df.withColumn("batch_id", F.col("batch_id").cast("string"))
 
@@ -131,15 +143,74 @@ class Lake:
         return df.select(*cols) if cols else df
 
 
+_BUILD_CODE = ("sources/binding.py", "plans/gold.py", "plans/store.py", "constants.py", "functions/joins.py")
+
+
+def fingerprint(src: str) -> str | None:
+    """Identity of a build: source files (name, size, mtime) + the build code.
+
+    Only local sources are fingerprinted; for other file systems ``None``
+    (always build in the application's own folder).
+    """
+    if "://" in src and not src.startswith("file:"):
+        return None
+    path = src[5:] if src.startswith("file:") else src
+    if not os.path.isdir(path):
+        return None
+    h = hashlib.sha1(path.encode())
+    for name in sorted(os.listdir(path)):
+        st = os.stat(os.path.join(path, name))
+        h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for rel in _BUILD_CODE:
+        with open(os.path.join(pkg, rel), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:16]
+
+
+def _manifest(spark: SparkSession, base: str) -> dict | None:
+    try:
+        row = spark.read.schema("root string, rows string").json(f"{base}/_manifest").first()
+    except Exception:
+        return None
+    return None if row is None else {"root": row["root"], "rows": json.loads(row["rows"])}
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """The built lake for ``sf_dir`` in this Spark application (build on first use)."""
+    """The built lake for ``sf_dir`` (build on first use).
+
+    Within an application the lake is built once.  Across applications, a
+    build whose manifest (written last, after every table) carries the same
+    fingerprint is reused from the configured ``spark.checkpoint.dir``;
+    each builder writes into its own application folder, so concurrent
+    builders never overwrite each other's tables.
+    """
     src = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
-    key = (spark.sparkContext.applicationId, src)
+    app = spark.sparkContext.applicationId
+    key = (app, src)
     with _LOCK:
         found = _LAKES.get(key)
-        if found is None:
+        if found is not None:
+            return found
+        fp = fingerprint(src)
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if fp and conf_dir:
+            base = f"{conf_dir.rstrip('/')}/actuaria-lake/{fp}"
+            man = _manifest(spark, base)
+            if man:
+                found = Lake(spark, src, man["root"], built=True, rows=man["rows"])
+                try:  # the reused tables must still be there
+                    found.fact_current(), found.fact_legacy(), found.silver()
+                except Exception:
+                    found, man = None, None
+            if not man:
+                found = Lake(spark, src, f"{base}/{app}").build()
+                spark.createDataFrame(
+                    [(found.root, json.dumps(found.rows))], "root string, rows string"
+                ).coalesce(1).write.mode("overwrite").json(f"{base}/_manifest")
+        else:
             digest = hashlib.sha1(src.encode()).hexdigest()[:12]
             root = f"{shared_dir(spark).rstrip('/')}/actuaria-lake/{digest}"
             found = Lake(spark, src, root).build()
-            _LAKES[key] = found
+        _LAKES[key] = found
         return found
