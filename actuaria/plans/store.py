@@ -124,8 +124,11 @@ class Lake:
                 old = src.where(F.col("batch_id") < EVOLVE_AT).drop("cgr", "cgr_factor")
                 new = src.where(F.col("batch_id") >= EVOLVE_AT)
                 for part in (old, new):
-                    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-                        .partitionBy("batch_id").parquet(path)
+                    # Range-cluster on (batch, time) before the partitioned write:
+                    # each batch lands in few files, and a batch too big for one
+                    # task is still split across tasks by its timestamps.
+                    part.repartitionByRange("batch_id", "ingested_at").write.mode("overwrite") \
+                        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
                 self._frames["evolving_built"] = True
         df = self.spark.read.option("mergeSchema", True).parquet(path)
         return df.withColumn("batch_id", F.col("batch_id").cast("string"))
@@ -176,7 +179,7 @@ def _manifest(spark: SparkSession, base: str) -> dict | None:
     return None if row is None else {"root": row["root"], "rows": json.loads(row["rows"])}
 
 
-def lake(spark: SparkSession, sf_dir: str) -> Lake:
+def lake(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Lake:
     """The built lake for ``sf_dir`` (build on first use).
 
     Within an application the lake is built once.  Across applications, a
@@ -194,7 +197,7 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
             return found
         fp = fingerprint(src)
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        if fp and conf_dir:
+        if fp and conf_dir and reuse:
             base = f"{conf_dir.rstrip('/')}/actuaria-lake/{fp}"
             man = _manifest(spark, base)
             if man:
