@@ -115,3 +115,20 @@ def test_streaming_daily_window(spark, scratch):
     assert got and all(v == 4 for v in got.values())
     assert set(got) <= {dt.date(2001, 1, d) for d in range(1, 5)}
     assert F  # keep import used
+
+
+def test_report_mart_and_export(spark, scratch):
+    from actuaria.plans import mart
+    from actuaria.plans.catalogue import catalogue
+
+    sf = "/root/testdata/sf0.001"
+    out = os.path.join(scratch, "mart")
+    paths = mart.publish(spark, sf, out, dt.date(2001, 11, 4), ["stk_4_2_company_ratio", "rpt_4_1_health"])
+    paths = mart.publish(spark, sf, out, dt.date(2001, 11, 4), ["stk_4_2_company_ratio"])  # rerun same day
+    got = spark.read.parquet(paths["stk_4_2_company_ratio"])
+    assert got.count() == 1 and "overall_loss_ratio" in got.columns
+
+    exp = os.path.join(scratch, "export")
+    mart.export(catalogue()["rpt_5_1_export"](spark, sf), exp)
+    back = spark.read.option("header", True).csv(exp)
+    assert back.count() == 1000 and "territory_label" in back.columns
