@@ -81,3 +81,15 @@ def batch_count_stats(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
         F.max("_n").alias("_max"),
         F.stddev_samp("_n").alias("_std"),
     )
+
+
+def period_summary(df: DataFrame, grain: str, start, metrics: list[Column], ts_col: str = "ingested_at",
+                   label: str = "week_starting") -> DataFrame:
+    """Rows since ``start`` grouped by ``date_trunc(grain, ts)`` as a DATE.
+
+    ``grain`` is any ``date_trunc`` unit ('week' starts on Monday, 'month');
+    the ``since`` filter is a pushable range on the raw timestamp.
+    """
+    return df.where(since(ts_col, start)).groupBy(
+        F.to_date(F.date_trunc(grain, ts_col)).alias(label)
+    ).agg(*metrics)

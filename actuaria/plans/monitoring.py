@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from actuaria import constants as K
 from actuaria.functions.expr import count_if, pct
-from actuaria.operators.batches import as_date, month_start, on_day, since, ts_ntz
+from actuaria.operators.batches import as_date, month_start, on_day, period_summary, since, ts_ntz
 from actuaria.operators.nulls import null_profile
 
 
@@ -37,12 +37,13 @@ def mon_2_1_health(f: DataFrame) -> DataFrame:
 
 def mon_2_2_weekly(f: DataFrame, as_of) -> DataFrame:
     start = as_date(as_of) - _dt.timedelta(days=7)
-    return f.where(since("ingested_at", start)).groupBy(
-        F.to_date(F.date_trunc("week", "ingested_at")).alias("week_starting")
-    ).agg(
-        _n().alias("records_processed"),
-        F.count_distinct("territory_label").alias("territories_covered"),
-        count_if(F.col("territory_label") != K.UNKNOWN_TERRITORY).alias("matched_territories"),
+    return period_summary(
+        f, "week", start,
+        [
+            _n().alias("records_processed"),
+            F.count_distinct("territory_label").alias("territories_covered"),
+            count_if(F.col("territory_label") != K.UNKNOWN_TERRITORY).alias("matched_territories"),
+        ],
     ).orderBy(F.col("week_starting").desc_nulls_first())
 
 

@@ -21,6 +21,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REQUIRED_ROLES = ("premiums", "territory", "dp03", "dp05")
 
@@ -71,6 +72,42 @@ def load_silver(
     return int(obs.get["rows"])
 
 
+def sql_type(dtype: T.DataType) -> str:
+    """The SQL type an added column gets (integer, float, timestamp, bool, else text)."""
+    name = dtype.simpleString()
+    if any(k in name for k in ("int", "bigint", "smallint", "tinyint")):
+        return "INTEGER"
+    if any(k in name for k in ("float", "double", "decimal")):
+        return "NUMERIC"
+    if "timestamp" in name or name == "date":
+        return "TIMESTAMP"
+    if name == "boolean":
+        return "BOOLEAN"
+    return "TEXT"
+
+
+def added_columns(before: DataFrame, after: DataFrame) -> list[tuple[str, str]]:
+    """Columns ``after`` adds to ``before`` (case-insensitive), with their SQL type."""
+    have = {c.lower() for c in before.columns}
+    return [(f.name, sql_type(f.dataType)) for f in after.schema.fields if f.name.lower() not in have]
+
+
+LOAD_SCHEMA = "dataset string, rows bigint, status string, reason string"
+
+
+def load_all(spark: SparkSession, root: str, datasets: Iterable[str], batch_ids: Iterable[str] | None = None,
+             loaded_at: _dt.datetime | None = None) -> DataFrame:
+    """Load several datasets; one failing dataset is reported, the rest load."""
+    report = []
+    ids = list(batch_ids) if batch_ids is not None else None
+    for ds in datasets:
+        try:
+            report.append((ds, load_silver(spark, root, ds, ids, loaded_at), "loaded", None))
+        except Exception as exc:  # per-table isolation
+            report.append((ds, 0, "failed", str(exc)[:500]))
+    return spark.createDataFrame(report, LOAD_SCHEMA)
+
+
 def read_silver(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """The evolved silver table: union of every batch's schema."""
     return _batch_text(spark.read.option("mergeSchema", True).parquet(f"{root}/silver/{dataset}"))

@@ -132,3 +132,16 @@ def test_report_mart_and_export(spark, scratch):
     mart.export(catalogue()["rpt_5_1_export"](spark, sf), exp)
     back = spark.read.option("header", True).csv(exp)
     assert back.count() == 1000 and "territory_label" in back.columns
+
+
+def test_load_report_isolates_failures_and_type_map(spark, scratch):
+    land, root = os.path.join(scratch, "landing"), os.path.join(scratch, "lake")
+    os.makedirs(land)
+    write(f"{land}/census_dp05.csv", "GEO.id2,HC01_VC03\n21502,10\n")
+    landing.ingest(spark, land, root, "20250101", dt.datetime(2025, 1, 1))
+    rep = {r["dataset"]: r for r in silver.load_all(spark, root, ["census_dp05", "missing"]).collect()}
+    assert rep["census_dp05"]["status"] == "loaded" and rep["census_dp05"]["rows"] == 1
+    assert rep["missing"]["status"] == "failed"
+    a = spark.createDataFrame([(1,)], "x int")
+    b = spark.createDataFrame([(1, 2.0, True, "s")], "x int, y double, z boolean, w string")
+    assert silver.added_columns(a, b) == [("y", "NUMERIC"), ("z", "BOOLEAN"), ("w", "TEXT")]
