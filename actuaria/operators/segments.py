@@ -21,6 +21,13 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
     return ordered.limit(k) if k is not None else ordered
 
 
+def sorted_small(df: DataFrame, *order: Column) -> DataFrame:
+    """ORDER BY for outputs whose size is fixed by the query (one row per
+    listed column / step): sorted in one partition, without the sampling job
+    and exchange a global range sort plans.  Not for data-sized outputs."""
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
 def segment_summary(
     df: DataFrame,
     keys: Sequence[str | Column],

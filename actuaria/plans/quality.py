@@ -24,6 +24,7 @@ from actuaria.operators.checks import date_range_counts, match_counts, sign_coun
 from actuaria.operators.duplicates import duplicate_stats, fingerprint, top_duplicates_with_list
 from actuaria.operators.nulls import critical_nulls, null_profile
 from actuaria.operators.score import grade, metrics_with_dup_groups
+from actuaria.operators.segments import sorted_small
 
 GOLD_NULL_COLUMNS = [
     "GEO_id", "gender", "birthdate", "state_province_code", "zipcode", "county_code",
@@ -50,12 +51,12 @@ def _null_status(n, p):
 
 def _gold_nulls(f: DataFrame, floor_one: bool) -> DataFrame:
     prof = null_profile(f, GOLD_NULL_COLUMNS, floor_one=floor_one)
-    return prof.select(
+    return sorted_small(prof.select(
         F.lit("GOLD LAYER NULL ANALYSIS").alias("test_suite"),
         F.lit("fact_insurance_performance").alias("table_name"),
         "column_name", "null_count", "null_percentage",
         _null_status(F.col("null_count"), F.col("null_percentage")).alias("quality_status"),
-    ).orderBy(F.col("null_percentage").desc_nulls_first())
+    ), F.col("null_percentage").desc_nulls_first())
 
 
 def dq_1_1_null_gold(f: DataFrame) -> DataFrame:
@@ -71,11 +72,11 @@ def dq_1_1_null_gold_raw(f: DataFrame) -> DataFrame:
 
 def dq_1_2_null_silver(silver: DataFrame) -> DataFrame:
     prof = null_profile(silver, SILVER_NULL_COLUMNS)
-    return prof.select(
+    return sorted_small(prof.select(
         F.lit("SILVER LAYER NULL ANALYSIS").alias("test_suite"),
         F.lit("stg_premiums").alias("table_name"),
         "column_name", "null_count", "null_percentage",
-    ).orderBy(F.col("null_percentage").desc_nulls_first())
+    ), F.col("null_percentage").desc_nulls_first())
 
 
 def dq_1_3_critical(f: DataFrame) -> DataFrame:

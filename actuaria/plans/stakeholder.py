@@ -18,7 +18,7 @@ from actuaria.functions.expr import (
 )
 from actuaria.operators.buckets import bucket_below, bucket_equal
 from actuaria.operators.nulls import completeness
-from actuaria.operators.segments import margin_pct, segment_summary, tier, waterfall, with_share
+from actuaria.operators.segments import margin_pct, segment_summary, sorted_small, tier, waterfall, with_share
 
 def n_rows():
     return F.count(F.lit(1))
@@ -341,7 +341,7 @@ def stk_9_3_waterfall(f: DataFrame) -> DataFrame:
             ("Less: Underlying Premium", avg_round("underlying_premium")),
             ("Gross Profit", avg_round(F.col("current_premium") - F.col("underlying_total_premium"))),
         ],
-    ).orderBy("cumulative_order")
+    ).transform(lambda d: sorted_small(d, F.col("cumulative_order")))
 
 
 # -- Q10 data quality ----------------------------------------------------------------
