@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from actuaria import constants as K
 from actuaria.functions.expr import (
     avg_exact, avg_round, count_if, div, money_round, non_blank, pct, round_int, sum_money, try_date,
-    age_years, MONEY,
+    age_years,
 )
 from actuaria.operators.buckets import bucket_below, bucket_equal
 from actuaria.operators.nulls import completeness
