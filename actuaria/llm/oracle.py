@@ -91,4 +91,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND n_broken = 0 AS kept, n_broken FROM verdict
 """
 
-ORACLES = {"op6_mix_sources": OP6, "op9_quality_rules": OP9}
+OP1 = r"""
+WITH lines AS (
+  SELECT rid, doc_id, p, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM (
+    SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+), repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT l.*, r.key IS NOT NULL AND l.doc_id <> r.keeper AS gone FROM lines l LEFT JOIN repeated r ON l.key = r.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY rid
+"""
+
+ORACLES = {
+    "op1_line_dedup": OP1,
+    "op6_mix_sources": OP6,
+    "op9_quality_rules": OP9,
+}

@@ -5,17 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from actuaria.llm import mixing, quality
+from actuaria.llm import line_dedup, mixing, quality, secrets, substring_dedup
 from actuaria.llm.common import Workspace, table
 from actuaria.llm.oracle import ORACLES
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), Workspace(spark, "op1"))
+    return done.select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("__kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), Workspace(spark, "op8"))
+    return spans.select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), Workspace(spark, "op9"))
     return judged.select(
@@ -23,6 +36,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
