@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,15 @@ SPACE_RE = "[\\x20\\x09-\\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, too."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 class Workspace:
     """A fresh folder below ``spark.checkpoint.dir`` for the written tables of one call.
 
@@ -25,6 +36,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        importable(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
@@ -38,6 +50,7 @@ class Workspace:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

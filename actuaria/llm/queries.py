@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import line_dedup, mixing, quality, secrets, substring_dedup
+from actuaria.llm import line_dedup, mixing, packing, quality, secrets, substring_dedup, toxicity
 from actuaria.llm.common import Workspace, table
 from actuaria.llm.oracle import ORACLES
 
@@ -19,11 +20,20 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels, Workspace(spark, "op7")))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), Workspace(spark, "op8"))
     return spans.select("doc_id", "start", "end", "n_units", "n_words", "kept_doc_id")
