@@ -107,8 +107,25 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
 FROM marked GROUP BY rid
 """
 
+OP3 = """
+WITH RECURSIVE vecs AS (
+  SELECT vec_id, list_transform(embedding, lambda c: c::DOUBLE) AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM vecs
+  WHERE len(v) > 0 AND len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(v, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_inner_product(x.v, y.v) / (x.size * y.size) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
+    "op3_embedding_dedup": OP3,
     "op6_mix_sources": OP6,
     "op9_quality_rules": OP9,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import licenses, line_dedup, mixing, packing, quality, secrets, substring_dedup, toxicity
+from actuaria.llm import embedding_dedup, licenses, line_dedup, mixing, packing, quality, secrets, substring_dedup, toxicity
 from actuaria.llm.common import Workspace, table
 from actuaria.llm.oracle import ORACLES
 
@@ -24,6 +24,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark, "op3"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
