@@ -54,6 +54,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables of narrow rows up to this many are broadcast: some 40 MB in memory.
+MOST_BROADCAST = 400_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df``, a written table of a few numbers a row, to be broadcast if its counted rows are few.
+
+    Above the bound it is returned as it is, for a shuffle join.
+    """
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """The strings of an Arrow column, null as the empty string."""
     return ["" if t is None else t for t in column.to_pylist()]

@@ -123,9 +123,35 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id)::BIGINT AS
 FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
 """
 
+OP5 = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_transform({WORDS}, lambda w:
+    translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents
+), sets AS (
+  SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_distinct(
+    list_transform(range(1, len(ws) - 2), lambda p: array_to_string(list_slice(ws, p, p + 3), ' '))) END AS s FROM words
+), classes AS (
+  SELECT list_sort(s) AS s, min(doc_id) AS cid FROM sets WHERE len(s) > 0 GROUP BY 1
+), tokens AS (
+  SELECT cid, len(s) AS n, unnest(s) AS t FROM classes
+), shared AS (
+  SELECT a.cid AS a, b.cid AS b, a.n AS na, b.n AS nb, count(*) AS n FROM tokens a JOIN tokens b ON a.t = b.t AND a.cid <> b.cid
+    AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * n >= 85 * (na + nb - n)
+), reach AS (
+  SELECT cid AS a, cid AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), roots AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(r.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND list_sort(s.s) = c.s LEFT JOIN roots r ON r.a = c.cid
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
     "op3_embedding_dedup": OP3,
+    "op5_ngram_join": OP5,
     "op6_mix_sources": OP6,
     "op9_quality_rules": OP9,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import embedding_dedup, licenses, line_dedup, mixing, packing, quality, secrets, substring_dedup, toxicity
+from actuaria.llm import embedding_dedup, licenses, line_dedup, mixing, ngram_join, packing, quality, secrets, substring_dedup, toxicity
 from actuaria.llm.common import Workspace, table
 from actuaria.llm.oracle import ORACLES
 
@@ -32,6 +32,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), Workspace(spark, "op5"), size=4, percent=85)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
