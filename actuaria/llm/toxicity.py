@@ -137,9 +137,9 @@ def automaton(terms: tuple[Term, ...]) -> TrieAutomaton:
     return TrieAutomaton(terms)
 
 
-FEATURES = ("exact", "near", "quoted", "heaviest", "density")
+FEATURES = ("exact", "near", "quoted", "heaviest", "total", "density")
 #: What the weights shrink to where training has nothing to say.
-PRIOR = np.array([2.0, 0.5, 0.3, 0.2, 1.0, -3.0])
+PRIOR = np.array([1.0, 0.2, 0.1, 0.3, 0.3, 0.5, -4.0])
 #: The memory of a task's word table, in words.
 REMEMBERED = 400_000
 
@@ -171,7 +171,7 @@ def features(text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int]
     if not hits:
         return [0.0] * len(FEATURES)
     exact = near = quoted = 0
-    heaviest = 0.0
+    weights: dict[int, float] = {}
     for at, word in enumerate(words):
         if word in hits:
             k, spent = hits[word]
@@ -179,9 +179,10 @@ def features(text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int]
                 quoted += 1
                 continue
             exact, near = exact + (spent == 0), near + (spent > 0)
-            heaviest = max(heaviest, matcher.terms[k].weight / (1 + spent))
+            weights[k] = max(weights.get(k, 0.0), matcher.terms[k].weight / (1 + spent))
+    heaviest = max(weights.values(), default=0.0)
     density = (exact + near) / len(words)
-    return [math.log1p(exact), math.log1p(near), math.log1p(quoted), heaviest, 10 * density]
+    return [math.log1p(exact), math.log1p(near), math.log1p(quoted), heaviest, math.log1p(sum(weights.values())), 10 * density]
 
 
 @dataclass(frozen=True)
@@ -235,8 +236,8 @@ def learn_terms(words: DataFrame, toxic: int, clean: int, min_docs: int, min_odd
     of its documents is the term; it is a whole word where that word has 80 % of them.
     """
     odds = lambda t, c: F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
-    nodes = words.filter(F.length("word") >= 4).select(
-        F.explode(F.transform(F.sequence(F.lit(4), F.length("word")), lambda n: F.substring("word", F.lit(1), n))).alias("node"),
+    nodes = words.select(
+        F.explode(F.transform(F.sequence(F.lit(3), F.length("word")), lambda n: F.substring("word", F.lit(1), n))).alias("node"),
         "n_toxic", "n_clean",
     )
     summed = nodes.groupBy("node").agg(F.sum("n_toxic").alias("t"), F.sum("n_clean").alias("c"))
@@ -279,7 +280,7 @@ def remainder(doc_id: Column) -> Column:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, work: Workspace, max_train: int = 30_000, min_docs: int = 8, min_share: float = 0.015, min_odds: float = 4.0
+    docs: DataFrame, labels: DataFrame, work: Workspace, max_train: int = 30_000, min_docs: int = 4, min_share: float = 0.015, min_odds: float = 3.0
 ) -> Model:
     """Learn lexicon and weights from labelled rows whose crc32(doc_id) mod 5 is not 0.
 
