@@ -40,13 +40,11 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as Parquet and read it back with the same schema."""
-        df.write.parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        """Write ``df`` as Parquet, to a path of its own, and read it back with the same schema."""
+        path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
