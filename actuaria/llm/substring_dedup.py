@@ -35,7 +35,7 @@ def units_of(text: str) -> Iterator[tuple[int, int, int, bytes]]:
         if bare:
             start = m.start() + len(raw) - len(raw.lstrip())
             words = bare.lower().split()
-            yield start, start + len(bare), len(words), hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            yield start, start + len(bare), len(words), hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=12).digest()
 
 
 def units(docs: DataFrame) -> DataFrame:
@@ -76,6 +76,7 @@ def repeated_spans(docs: DataFrame, work: Workspace, min_words: int = 30) -> Dat
     found = work.write(units(docs), "units")
     place = F.struct("doc_id", "row", "pos")
     first = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    first = work.write(first, "first")  # as a table, so that the join's shuffles are its own and can be split
     later = (
         found.join(first, "digest").filter(~place.eqNullSafe(F.col("first")))
         .select("doc_id", "row", "pos", "start", "end", "words", F.col("first.doc_id").alias("kept"))
