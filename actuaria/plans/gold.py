@@ -8,19 +8,18 @@ towns) and left joins of the two census tables through the territory's zip.
 catalogues query: one row per premium, territory columns from a left join on
 the geo id, ``'Unknown'`` when no territory matched, census by geo id.
 
-Both only ever join the (large) premiums side to dimensions whose row count
-is known (observed when the dimension was written) or checked before they are
-broadcast, so the fact side is never shuffled while the dimensions stay
-small; past the ceiling the planner falls back to a shuffle join.
+Both join the (large) premiums side to written dimension tables, whose bytes Spark
+knows: it broadcasts them under its threshold and shuffles, with its skew split,
+above.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.constants import UNKNOWN_TERRITORY
-from actuaria.functions.joins import sized_broadcast
+from actuaria.sources import silver
 
 PREMIUM_COLUMNS = [
     "gender", "birthdate", "ypc", "current_premium", "indicated_premium", "selected_premium",
@@ -79,17 +78,10 @@ def census_dim(dp03: DataFrame, dp05: DataFrame) -> tuple[DataFrame, DataFrame]:
     return d3, d5
 
 
-def _rows(rows: dict[str, int] | None, name: str) -> int | None:
-    return None if rows is None else rows.get(name)
-
-
-def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame,
-                 rows: dict[str, int] | None = None) -> DataFrame:
+def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame) -> DataFrame:
     """Premiums ⋈ territory (inner, integer key) ⟕ DP03 ⟕ DP05 via the zip.
 
-    All three joins are broadcast hash joins on the premiums side when the
-    dimension counts are under the ceiling: the fact is scanned once and
-    never shuffled.  Territories with two towns fan premiums out (kept).
+    Territories with two towns fan premiums out (kept).
     """
     for df, role in ((premiums, "premiums"), (territory, "territory"), (dp03, "dp03"), (dp05, "dp05")):
         require_columns(df, role)
@@ -101,9 +93,9 @@ def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp0
         geo_key(F.col("zipcode")).alias("_tz"),
     )
     joined = (
-        p.join(sized_broadcast(t, rows=_rows(rows, "territory")), F.col("_pt") == F.col("_tt"), "inner")
-        .join(sized_broadcast(d3, rows=_rows(rows, "dp03")), F.col("_tz") == F.col("_g3"), "left")
-        .join(sized_broadcast(d5, rows=_rows(rows, "dp05")), F.col("_tz") == F.col("_g5"), "left")
+        p.join(t, F.col("_pt") == F.col("_tt"), "inner")
+        .join(d3, F.col("_tz") == F.col("_g3"), "left")
+        .join(d5, F.col("_tz") == F.col("_g5"), "left")
     )
     return joined.select(*CURRENT_COLUMNS)
 
@@ -123,21 +115,46 @@ def legacy_territory(territory: DataFrame) -> DataFrame:
     )
 
 
-def fact_legacy(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame,
-                rows: dict[str, int] | None = None) -> DataFrame:
-    """Premiums ⟕ territory ⟕ DP03 ⟕ DP05, all on the geo id; 'Unknown' label.
-
-    The grouped territory has at most as many rows as the territory table,
-    so the territory count bounds its broadcast as well.
-    """
+def fact_legacy(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame) -> DataFrame:
+    """Premiums ⟕ territory ⟕ DP03 ⟕ DP05, all on the geo id; 'Unknown' label."""
     d3, d5 = census_dim(dp03, dp05)
     lt = legacy_territory(territory)
     p = premiums.withColumn("_geo", geo_key(F.col("GEO_id")))
     joined = (
-        p.join(sized_broadcast(lt, rows=_rows(rows, "territory")), F.col("_geo") == F.col("_gz"), "left")
-        .join(sized_broadcast(d3, rows=_rows(rows, "dp03")), F.col("_geo") == F.col("_g3"), "left")
-        .join(sized_broadcast(d5, rows=_rows(rows, "dp05")), F.col("_geo") == F.col("_g5"), "left")
+        p.join(lt, F.col("_geo") == F.col("_gz"), "left")
+        .join(d3, F.col("_geo") == F.col("_g3"), "left")
+        .join(d5, F.col("_geo") == F.col("_g5"), "left")
     )
     return joined.withColumn(
         "territory_label", F.coalesce(F.col("_label"), F.lit(UNKNOWN_TERRITORY))
     ).select(*LEGACY_COLUMNS)
+
+
+def write_fact(df: DataFrame, path: str) -> int:
+    """Rebuild a fact table; returns its rows (S25, S26), observed while writing.
+
+    Rows are clustered by load time, so a time window's filter skips files and row
+    groups by their minima and maxima.
+    """
+    obs = Observation("fact")
+    (
+        df.repartitionByRange("ingested_at").sortWithinPartitions("ingested_at").observe(obs, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    )
+    return int(obs.get["rows"])
+
+
+def build_gold(spark: SparkSession, root: str) -> int:
+    """The daily gold build from loaded silver: tables → roles → contract → newest batches → fact.
+
+    Lists the silver tables under ``root``, picks one per role, checks every table's
+    columns, joins the newest batch of each and rebuilds ``<root>/gold/fact_current``.
+    """
+    roles = silver.resolve_roles(silver.silver_tables(spark, root))
+    frames = {}
+    for role, name in roles.items():
+        df = silver.read_silver(spark, root, name.removeprefix("stg_"))
+        require_columns(df, role)
+        frames[role] = silver.latest_batch(df)
+    fact = fact_current(frames["premiums"], frames["territory"], frames["dp03"], frames["dp05"])
+    return write_fact(fact, f"{root}/gold/fact_current")

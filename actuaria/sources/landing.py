@@ -1,36 +1,44 @@
 """Landing CSV → bronze parquet.
 
-One Spark job per dataset family, not one pandas frame per file:
-
-* discovery (S1/S2/S10): ``binaryFile`` listing with ``pathGlobFilter=*.csv``
-  (only path/length/modificationTime are read; Spark already hides ``_*``
-  and ``.*`` files, and ``x.csv.tmp`` never matches the glob);
-* consume-once (S7): files already in the ingest ledger are skipped with a
-  left-anti join, so a rerun only picks up new arrivals;
-* parse (S3/S8): PERMISSIVE CSV with a corrupt-record column; bad rows go to
-  ``quarantine/<dataset>`` instead of failing the load;
-* lineage (S4): ``ingested_at`` / ``batch_id`` stamped as literals;
-* write (S6): ``bronze/<dataset>/batch_id=<ds>/`` with dynamic partition
-  overwrite — rerunning a batch replaces it, other batches are untouched;
-* summary (S5/S9): per file rows / bad rows / status, appended to the ledger
-  ``ops/ingest_log``; header-only files are ``empty`` and stay unconsumed.
-
-Each family's CSV is parsed exactly once, into a staging parquet table;
-the per-file tally (grouped count of ``_metadata.file_name``), the bronze
-write and the quarantine split all read the staged columns.
+* discovery (S1/S2/S10): one listing of the landing folder; ``_*``, ``.*`` and
+  names that don't end in ``.csv`` are passed over, a missing folder is an error;
+* consume-once (S7): files that the ledger calls ``loaded`` (same name and
+  modification time) are skipped; with ``archive_dir`` they are moved there after
+  the ledger is written;
+* parse (S3/S8): files are grouped by dataset and header line, and every group is
+  read with its own header, so columns are bound by name.  Values of declared
+  columns are cast by name.  Records with too many or too few fields and values
+  that cannot be cast go to the quarantine with the record's text;
+* lineage (S4): ``ingested_at`` / ``batch_id`` are stamped as literals;
+* write (S6): ``bronze/<dataset>/batch_id=<ds>/source_file=<name>/`` with dynamic
+  partition overwrite, the quarantine likewise: loading a file again replaces its
+  own rows, a second file of the batch is kept beside the first;
+* isolation (S8): a group that fails is loaded file by file, and only the files that
+  fail by themselves are reported as failed, with the whole reason;
+* summary (S5/S9): per file rows = bronze rows + bad rows, appended to the ledger
+  ``ops/ingest_log``.  Header-only files are ``empty``, zero-byte files ``failed``;
+  both stay unconsumed.
+
+A quoted field may hold line breaks.  Such files cannot be split over tasks; for
+datasets known to have none, name them in ``splittable``.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 import re
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actuaria.sources import files
+from actuaria.sources.files import FileInfo
+
 CORRUPT = "_corrupt_record"
+FILE = "_file"
 
 LOG_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()),
@@ -40,7 +48,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("bad_rows", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("reason", T.StringType()),
-    T.StructField("modified", T.TimestampType()),
+    T.StructField("modified", T.TimestampNTZType()),
 ])
 
 
@@ -52,40 +60,126 @@ def dataset_of(file_name: str) -> str:
     return re.sub(r"[.\-]", "_", stem).lower()
 
 
-def list_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """(path, file, length, modified) of candidate CSV files, non-recursive."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "false")
-        .load(landing_dir)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
-    return files.withColumn("file", F.element_at(F.split("path", "/"), -1))
+def list_landing(spark: SparkSession, landing_dir: str) -> list[FileInfo]:
+    """The candidate CSV files, non-recursive."""
+    return [f for f in files.list_files(spark, landing_dir) if f.name.endswith(".csv") and f.name[0] not in "_."]
 
 
 def _ledger(spark: SparkSession, log_dir: str) -> DataFrame:
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(log_dir)
-    except Exception:  # first run: no ledger yet
+    if not files.exists(spark, log_dir):  # first run; any other trouble is raised
         return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(log_dir)
 
 
-def new_files(spark: SparkSession, landing_dir: str, log_dir: str) -> DataFrame:
-    """Listed files not yet consumed (ledger status ``loaded``), by name + mtime."""
+def new_files(spark: SparkSession, landing_dir: str, log_dir: str) -> list[FileInfo]:
+    """Listed files that the ledger does not call ``loaded``, by name and modification time."""
+    listed = list_landing(spark, landing_dir)
+    if not listed:
+        return []
+    names = spark.createDataFrame([(f.name, f.modified) for f in listed], "file string, modified timestamp_ntz")
     done = _ledger(spark, log_dir).where(F.col("status") == "loaded").select("file", "modified")
-    return list_landing(spark, landing_dir).join(done, ["file", "modified"], "left_anti")
+    fresh = {r["file"] for r in names.join(done, ["file", "modified"], "left_anti").select("file").collect()}
+    return [f for f in listed if f.name in fresh]
+
+
+def header_of(spark: SparkSession, info: FileInfo) -> tuple[str, ...]:
+    """The column names of a file's first line; none for a zero-byte file."""
+    line = files.first_line(spark, info.path) if info.length else None
+    if not line:
+        return ()
+    return tuple(next(csv.reader([line.removeprefix("﻿")])))
+
 
+def _read(spark: SparkSession, paths: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+    """All columns as text under the given header, the corrupt record and the file's name."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())])
+    return (
+        spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line).option("escape", '"').csv(paths)
+        .select("*", F.col("_metadata.file_name").alias(FILE))
+    )
+
+
+def _typed(raw: DataFrame, header: tuple[str, ...], declared: T.StructType | None) -> tuple[DataFrame, Column]:
+    """The declared columns cast by name (missing ones null), and the condition of a bad row."""
+    kinds = {f.name: f.dataType for f in declared.fields} if declared else {}
+    name = lambda c: F.col(f"`{c}`")
+    bad = name(CORRUPT).isNotNull()
+    out = []
+    for c in header:
+        if c in kinds and kinds[c] != T.StringType():
+            cast = F.trim(name(c)).try_cast(kinds[c])
+            bad = bad | (F.coalesce(F.trim(name(c)), F.lit("")) != "") & cast.isNull()
+            out.append(cast.alias(c))
+        else:
+            out.append(name(c))
+    out += [F.lit(None).cast(k).alias(c) for c, k in kinds.items() if c not in header]
+    record = F.coalesce(name(CORRUPT), F.to_csv(F.struct(*[name(c) for c in header])))
+    typed = raw.select(*out, name(FILE), bad.alias("_bad"), record.alias("_record"))
+    return typed, F.col("_bad")
+
+
+def _load(
+    spark: SparkSession, group: list[FileInfo], dataset: str, header: tuple[str, ...], root: str, batch_id: str,
+    stamp: Column, declared: T.StructType | None, multi_line: bool,
+) -> dict[str, tuple[int, int]]:
+    """Write one group's bronze and quarantine partitions; (rows, bad rows) per file.
+
+    The CSV is parsed once, into a staging table that both writes and the tallies read.
+    """
+    typed, bad = _typed(_read(spark, [f.path for f in group], header, multi_line), header, declared)
+    staging = f"{root}/_staging/{dataset}/batch_id={batch_id}"
+    typed.write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(typed.schema).parquet(staging)
+    lineage = [F.lit(batch_id).alias("batch_id"), F.col(FILE).alias("source_file")]
+
+    def put(df: DataFrame, folder: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(
+            "batch_id", "source_file"
+        ).parquet(f"{root}/{folder}/{dataset}")
+
+    put(staged.where(~bad).drop("_bad", "_record").withColumn("ingested_at", stamp).select("*", *lineage).drop(FILE), "bronze")
+    if staged.where(bad).head(1):
+        put(staged.where(bad).select(F.col("_record").alias("record"), *lineage), "quarantine")
+    counted = staged.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
+    return {r[FILE]: (int(r["rows"]), int(r["bad"])) for r in counted.collect()}
+
+
+def load_files(
+    spark: SparkSession, found: list[FileInfo], root: str, batch_id: str, ingested_at: _dt.datetime,
+    schemas: Mapping[str, T.StructType] | None = None, splittable: Collection[str] = (),
+) -> list[tuple]:
+    """Load these files into bronze; one LOG_SCHEMA row for each of them."""
+    schemas = dict(schemas or {})
+    stamp = F.lit(ingested_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    groups: dict[tuple[str, tuple[str, ...]], list[FileInfo]] = {}
+    summary: list[tuple] = []
+    for f in found:
+        try:
+            header = header_of(spark, f)
+            if not header:
+                raise ValueError("no columns: the file has no header line")
+            groups.setdefault((dataset_of(f.name), header), []).append(f)
+        except Exception as exc:  # per-file isolation (S8)
+            summary.append((f.name, dataset_of(f.name), batch_id, 0, 0, "failed", str(exc), f.modified))
+    for (dataset, header), group in sorted(groups.items()):
+
+        def load(some: list[FileInfo]) -> None:
+            counts = _load(spark, some, dataset, header, root, batch_id, stamp, schemas.get(dataset), dataset not in splittable)
+            for f in some:
+                rows, bad = counts.get(f.name, (0, 0))
+                status, reason = ("loaded", None) if rows else ("empty", "file contains no data rows")
+                summary.append((f.name, dataset, batch_id, rows, bad, status, reason, f.modified))
 
-def _read_family(spark: SparkSession, paths: list[str], schema: T.StructType | None) -> DataFrame:
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
-    if schema is not None:
-        if CORRUPT not in schema.fieldNames():
-            schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-        r = r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    # Without a declared schema every column is read as text: no inference pass
-    # over the data, and no value is lost to a wrong guess.
-    return r.csv(paths).select("*", F.col("_metadata.file_name").alias("_file"))
+        try:
+            load(group)
+        except Exception:
+            for f in group:
+                try:
+                    load([f])
+                except Exception as exc:
+                    summary.append((f.name, dataset, batch_id, 0, 0, "failed", str(exc), f.modified))
+    return summary
 
 
 def ingest(
@@ -95,57 +189,17 @@ def ingest(
     batch_id: str,
     ingested_at: _dt.datetime,
     schemas: Mapping[str, T.StructType] | None = None,
+    splittable: Collection[str] = (),
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """Load every new landing CSV into bronze; return this run's summary rows."""
-    schemas = dict(schemas or {})
     log_dir = f"{root}/ops/ingest_log"
-    listing = [r.asDict() for r in new_files(spark, landing_dir, log_dir).collect()]  # file names only
-    families: dict[str, list[dict]] = {}
-    for f in listing:
-        families.setdefault(dataset_of(f["file"]), []).append(f)
-
-    summary: list[tuple] = []
-    stamp = F.lit(ingested_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    for dataset, files in sorted(families.items()):
-        meta = {f["file"]: f for f in files}
-        try:
-            parsed = _read_family(spark, [f["path"] for f in files], schemas.get(dataset))
-            # Parse once into a staging table; tallies and the good/bad split
-            # read the staged parquet (cheap, and the only supported way to
-            # query the corrupt-record column on its own).
-            staging = f"{root}/_staging/{dataset}/batch_id={batch_id}"
-            parsed.write.mode("overwrite").parquet(staging)
-            raw = spark.read.parquet(staging)
-            has_corrupt = CORRUPT in raw.columns
-            bad = F.col(CORRUPT).isNotNull() if has_corrupt else F.lit(False)
-            tallies = {
-                r["_file"]: (r["rows"], r["bad"])
-                for r in raw.groupBy("_file").agg(
-                    F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, F.lit(1))).alias("bad")
-                ).collect()
-            }
-            good = raw.where(~bad).drop(*([CORRUPT] if has_corrupt else []))
-            obs = Observation(f"bronze_{dataset}")
-            (
-                good.withColumn("ingested_at", stamp).withColumn("batch_id", F.lit(batch_id))
-                .observe(obs, F.count(F.lit(1)).alias("rows"))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .option("compression", "snappy").partitionBy("batch_id")
-                .parquet(f"{root}/bronze/{dataset}")
-            )
-            obs.get  # noqa: B018 — the write has completed when the metric is available
-            if has_corrupt:
-                raw.where(bad).select(
-                    "_file", F.col(CORRUPT).alias("record"), F.lit(batch_id).alias("batch_id")
-                ).write.mode("append").parquet(f"{root}/quarantine/{dataset}")
-            for name, f in meta.items():
-                rows, nbad = tallies.get(name, (0, 0))
-                status, reason = ("loaded", None) if rows > 0 else ("empty", "file contains no data rows")
-                summary.append((name, dataset, batch_id, int(rows), int(nbad), status, reason, f["modified"]))
-        except Exception as exc:  # per-family isolation (S8): record and continue
-            for name, f in meta.items():
-                summary.append((name, dataset, batch_id, 0, 0, "failed", str(exc)[:500], f["modified"]))
-
-    out = spark.createDataFrame(summary, LOG_SCHEMA)
+    found = new_files(spark, landing_dir, log_dir)
+    out = spark.createDataFrame(load_files(spark, found, root, batch_id, ingested_at, schemas, splittable), LOG_SCHEMA)
     out.write.mode("append").parquet(log_dir)
+    if archive_dir:
+        loaded = {r["file"] for r in out.where("status = 'loaded'").select("file").collect()}
+        for f in found:
+            if f.name in loaded:
+                files.move_into(spark, f.path, archive_dir)
     return out

@@ -2,6 +2,7 @@
 
 * Column names are sanitised (``.``/``-`` → ``_``: ``GEO.id2`` → ``GEO_id2``);
   a collision (``a-b`` beside ``a.b``, case-insensitively) is an error.
+* Silver reads what bronze holds of a batch, all of its files.
 * Each bronze batch is written to ``silver/<dataset>/batch_id=<b>/`` with
   dynamic partition overwrite: re-running a batch replaces it instead of
   appending duplicates (the reference appends every file on every run;
@@ -19,10 +20,12 @@ import datetime as _dt
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actuaria.sources import files
+
 REQUIRED_ROLES = ("premiums", "territory", "dp03", "dp05")
 
 
@@ -40,29 +43,33 @@ def _batch_text(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_id", F.col("batch_id").cast("string"))
 
 
-def read_bronze(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    return _batch_text(spark.read.option("mergeSchema", True).parquet(f"{root}/bronze/{dataset}"))
+def read_bronze(spark: SparkSession, root: str, dataset: str, batch_ids: Iterable[str] | None = None) -> DataFrame:
+    """Bronze rows of all batches, or of the named ones.
+
+    Files of one batch may have different columns, so their schemas are merged; with
+    ``batch_ids`` only those batches' folders are listed and their footers read.
+    """
+    base = f"{root}/bronze/{dataset}"
+    paths = [base] if batch_ids is None else [f"{base}/batch_id={b}" for b in batch_ids]
+    df = spark.read.option("mergeSchema", True).option("basePath", base).parquet(*paths)
+    return _batch_text(df).drop("source_file")
 
 
 def load_silver(
     spark: SparkSession,
     root: str,
     dataset: str,
+    loaded_at: _dt.datetime,
     batch_ids: Iterable[str] | None = None,
-    loaded_at: _dt.datetime | None = None,
     restamp: bool = False,
     mode: str = "overwrite",
 ) -> int:
     """Load bronze batches of ``dataset`` into silver; returns rows written."""
-    df = sanitize(read_bronze(spark, root, dataset))
-    if batch_ids is not None:
-        df = df.where(F.col("batch_id").isin(list(batch_ids)))  # partition pruning
-    stamp = F.lit((loaded_at or _dt.datetime(1970, 1, 1)).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    df = sanitize(read_bronze(spark, root, dataset, None if batch_ids is None else list(batch_ids)))
+    stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     df = df.withColumn("loaded_at", stamp)
     if restamp:
         df = df.withColumn("ingested_at", stamp)
-    from pyspark.sql import Observation
-
     obs = Observation(f"silver_{dataset}")
     (
         df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -72,56 +79,65 @@ def load_silver(
     return int(obs.get["rows"])
 
 
-def sql_type(dtype: T.DataType) -> str:
-    """The SQL type an added column gets (integer, float, timestamp, bool, else text)."""
-    name = dtype.simpleString()
-    if any(k in name for k in ("int", "bigint", "smallint", "tinyint")):
-        return "INTEGER"
-    if any(k in name for k in ("float", "double", "decimal")):
-        return "NUMERIC"
-    if "timestamp" in name or name == "date":
-        return "TIMESTAMP"
-    if name == "boolean":
-        return "BOOLEAN"
-    return "TEXT"
+#: What an added column is called in the load report.
+SQL_TYPES: dict[type[T.DataType], str] = {
+    T.ByteType: "INTEGER", T.ShortType: "INTEGER", T.IntegerType: "INTEGER", T.LongType: "BIGINT",
+    T.FloatType: "NUMERIC", T.DoubleType: "NUMERIC", T.DecimalType: "NUMERIC",
+    T.DateType: "TIMESTAMP", T.TimestampType: "TIMESTAMP", T.TimestampNTZType: "TIMESTAMP",
+    T.BooleanType: "BOOLEAN",
+}
+
 
+def added_columns(before: T.StructType, after: T.StructType) -> list[tuple[str, str]]:
+    """Columns ``after`` adds to ``before`` (case-insensitive), with their SQL type (else TEXT)."""
+    have = {c.lower() for c in before.names}
+    return [(f.name, SQL_TYPES.get(type(f.dataType), "TEXT")) for f in after.fields if f.name.lower() not in have]
 
-def added_columns(before: DataFrame, after: DataFrame) -> list[tuple[str, str]]:
-    """Columns ``after`` adds to ``before`` (case-insensitive), with their SQL type."""
-    have = {c.lower() for c in before.columns}
-    return [(f.name, sql_type(f.dataType)) for f in after.schema.fields if f.name.lower() not in have]
 
+LOAD_SCHEMA = "dataset string, rows bigint, status string, reason string, added string"
 
-LOAD_SCHEMA = "dataset string, rows bigint, status string, reason string"
 
+def load_all(spark: SparkSession, root: str, datasets: Iterable[str], loaded_at: _dt.datetime,
+             batch_ids: Iterable[str] | None = None) -> DataFrame:
+    """Load several datasets; one failing dataset is reported, the rest load.
 
-def load_all(spark: SparkSession, root: str, datasets: Iterable[str], batch_ids: Iterable[str] | None = None,
-             loaded_at: _dt.datetime | None = None) -> DataFrame:
-    """Load several datasets; one failing dataset is reported, the rest load."""
+    ``added`` names the columns that the load added to an existing silver table.
+    """
     report = []
     ids = list(batch_ids) if batch_ids is not None else None
     for ds in datasets:
         try:
-            report.append((ds, load_silver(spark, root, ds, ids, loaded_at), "loaded", None))
+            before = read_silver(spark, root, ds).schema if files.exists(spark, f"{root}/silver/{ds}") else None
+            rows = load_silver(spark, root, ds, loaded_at, ids)
+            new = added_columns(before, read_silver(spark, root, ds).schema) if before else []
+            report.append((ds, rows, "loaded", None, ", ".join(f"{c} {t}" for c, t in new)))
         except Exception as exc:  # per-table isolation
-            report.append((ds, 0, "failed", str(exc)[:500]))
+            report.append((ds, 0, "failed", str(exc), ""))
     return spark.createDataFrame(report, LOAD_SCHEMA)
 
 
+def silver_tables(spark: SparkSession, root: str) -> list[str]:
+    """The names of the silver tables, ``stg_<dataset>``."""
+    return [f"stg_{name}" for name in files.list_folders(spark, f"{root}/silver")]
+
+
+def has_table(spark: SparkSession, root: str, table: str) -> bool:
+    """P-13: whether a silver table exists."""
+    return table in silver_tables(spark, root)
+
+
 def read_silver(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """The evolved silver table: union of every batch's schema."""
     return _batch_text(spark.read.option("mergeSchema", True).parquet(f"{root}/silver/{dataset}"))
 
 
 def latest_batch(df: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """Rows of the newest batch only (S22), as a semi-join on the max batch.
+    """Rows of the newest batch only.
 
-    The max is a one-row aggregate (broadcast, size 1), so the filter runs as
-    a broadcast join on the fact side — no driver round trip, no shuffle of
-    the rows themselves.
+    The newest batch is a scalar subquery.  Where the table is partitioned by the
+    batch, it reads no data column, and the filter prunes the other partitions.
     """
-    newest = df.agg(F.max(batch_col).alias("_latest"))
-    return df.join(F.broadcast(newest), F.col(batch_col) == F.col("_latest"), "left_semi")
+    return df.where(F.col(batch_col) == df.agg(F.max(batch_col)).scalar())
 
 
 def resolve_roles(tables: Iterable[str]) -> dict[str, str]:
@@ -138,6 +154,8 @@ def resolve_roles(tables: Iterable[str]) -> dict[str, str]:
         if not all(c.isalnum() or c in "_-" for c in t):
             raise ValueError(f"invalid table name: {t}")
     found = {role: [t for t in names if role in t.lower()] for role in REQUIRED_ROLES}
+    plain = [t for t in found["premiums"] if "cgr" not in t.lower()]
+    found["premiums"] = plain or found["premiums"]
     if len(names) < len(REQUIRED_ROLES) or not all(found.values()):
         raise ValueError("missing required tables: " + ", ".join(f"{r}={len(v)}" for r, v in found.items()))
     return {role: v[0] for role, v in found.items()}

@@ -1,59 +1,76 @@
 """Incremental ingest with Structured Streaming (S11 re-aimed, S7 consume-once).
 
 The reference polls a landing folder every 60 s with a file sensor and moves
-consumed files to an archive.  Here a file-source stream does both:
-
-* ``trigger(availableNow=True)`` processes everything that has arrived and
-  stops — run it on the same schedule as the sensor; a second run picks up
-  only files that arrived since (the checkpoint records consumed files);
-* ``cleanSource=archive`` moves consumed files to an archive folder (it must
-  lie outside the source glob); files are archived one trigger late;
-* each micro-batch is stamped and appended to ``bronze/<dataset>`` by
-  ``foreachBatch``, partitioned by the batch day, so a failed micro-batch is
-  retried from the checkpoint without duplicating committed output.
-
-``daily_counts`` is the live form of the freshness report: a watermarked
-1-day tumbling window over ``ingested_at`` (late rows up to the watermark
-still count; state for closed days is dropped).
+consumed files to an archive.  Here a stream of file names does both:
+
+* ``trigger(availableNow=True)`` processes the files that have arrived and stops;
+  a second run picks up only files that arrived since (the checkpoint records
+  consumed files);
+* ``cleanSource=archive`` moves consumed files to an archive folder (it must lie
+  outside the source glob); files are archived one trigger late;
+* each micro-batch loads its files through the batch loader.  A file's rows and
+  bad rows go to partitions named by its batch and its own name, the batch follows
+  from the newest modification time of the micro-batch, and partitions are
+  overwritten; so a micro-batch that is retried after its write changes nothing.
+
+``daily_counts`` is the live form of the freshness report: rows per day with a
+watermark, after which a day's state is dropped and later rows are ignored.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actuaria.sources import landing
+from actuaria.sources.files import FileInfo
 
-def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                   archive_dir: str | None = None, max_files: int | None = None) -> DataFrame:
-    r = (
-        spark.readStream.format("csv").schema(schema).option("header", True)
-        .option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE")
-    )
+
+def landing_stream(spark: SparkSession, landing_dir: str, archive_dir: str | None = None, max_files: int | None = None) -> DataFrame:
+    """(path, modified, length) of the landing files as they arrive; contents are not read."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    r = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.csv")
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(landing_dir)
+    return r.load(landing_dir).select("path", F.col("modificationTime").alias("modified"), "length")
+
 
+def load_micro_batch(
+    df: DataFrame, root: str, schemas: Mapping[str, T.StructType] | None = None, splittable: Collection[str] = ()
+) -> list[tuple]:
+    """Load the files that ``df`` names; the same files give the same partitions whenever this runs."""
+    rows = [(r["path"], r["modified"], r["length"]) for r in df.withColumn("modified", F.col("modified").cast("timestamp_ntz")).collect()]
+    found = [FileInfo(p, p.rsplit("/", 1)[-1], n, m) for p, m, n in sorted(rows)]
+    if not found:
+        return []
+    newest: dt.datetime = max(f.modified for f in found)
+    return landing.load_files(df.sparkSession, found, root, newest.strftime("%Y%m%d"), newest, schemas, splittable)
 
-def _stamp(df: DataFrame, batch_id: int) -> DataFrame:
-    now = F.current_timestamp().cast("timestamp_ntz")
-    return df.withColumn("ingested_at", now).withColumn("batch_id", F.date_format(now, "yyyyMMdd"))
 
+def run_available(
+    spark: SparkSession, landing_dir: str, root: str, schemas: Mapping[str, T.StructType] | None = None,
+    archive_dir: str | None = None, name: str = "landing", max_files: int | None = None,
+) -> None:
+    """Ingest every landing file not yet seen into ``bronze/<dataset>`` and stop.
 
-def run_available(spark: SparkSession, landing_dir: str, root: str, dataset: str, schema: T.StructType,
-                  archive_dir: str | None = None) -> None:
-    """Ingest every landing file not yet seen into ``bronze/<dataset>`` and stop."""
-    target = f"{root}/bronze/{dataset}"
+    A file that fails stops the stream with its reason, and the next run tries again.
+    """
 
     def write_batch(df: DataFrame, epoch: int) -> None:
-        _stamp(df, epoch).write.mode("append").partitionBy("batch_id").parquet(target)
+        failed = [(r[0], r[6]) for r in load_micro_batch(df, root, schemas) if r[5] == "failed"]
+        if failed:
+            raise RuntimeError(f"micro-batch {epoch}: {failed}")
 
     q = (
-        landing_stream(spark, landing_dir, schema, archive_dir)
+        landing_stream(spark, landing_dir, archive_dir, max_files)
         .writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", f"{root}/_checkpoints/bronze_{dataset}")
+        .option("checkpointLocation", f"{root}/_checkpoints/{name}")
         .trigger(availableNow=True)
         .start()
     )
@@ -61,7 +78,7 @@ def run_available(spark: SparkSession, landing_dir: str, root: str, dataset: str
 
 
 def daily_counts(events: DataFrame, ts_col: str = "ingested_at", watermark: str = "1 day") -> DataFrame:
-    """Streaming rows per day: ``(day, record_count)`` with a watermark."""
+    """Streaming rows per day: ``(ingestion_date, record_count)`` with a watermark."""
     return (
         events.withWatermark(ts_col, watermark)
         .groupBy(F.window(ts_col, "1 day").alias("w"))
@@ -72,17 +89,24 @@ def daily_counts(events: DataFrame, ts_col: str = "ingested_at", watermark: str
 
 def run_daily_counts(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
                      name: str = "daily_counts") -> DataFrame:
-    """Stream parquet rows from ``source_dir`` through ``daily_counts`` until
-    caught up; the finalized days are appended to ``<root>/stream/<name>``."""
+    """Stream parquet rows from ``source_dir`` through ``daily_counts`` until caught up.
+
+    Every day that changed, open days included, replaces its own partition of
+    ``<root>/stream/<name>``, so the table equals the batch answer over the rows seen.
+    """
     out = f"{root}/stream/{name}"
     src = spark.readStream.schema(schema).parquet(source_dir)
     if "ingested_at" in schema.fieldNames() and dict((f.name, f.dataType) for f in schema.fields)[
             "ingested_at"] != T.TimestampType():
         src = src.withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+
+    def replace_days(df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingestion_date").parquet(out)
+
     q = (
-        daily_counts(src).writeStream.outputMode("append").format("parquet")
-        .option("path", out).option("checkpointLocation", f"{root}/_checkpoints/{name}")
+        daily_counts(src).writeStream.outputMode("update").foreachBatch(replace_days)
+        .option("checkpointLocation", f"{root}/_checkpoints/{name}")
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema("record_count bigint, ingestion_date date").parquet(out)
