@@ -22,7 +22,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(38,2)"
-MONEY4 = "decimal(38,4)"
 
 
 def col(c: str | Column) -> Column:
@@ -43,11 +42,6 @@ def pct(part: str | Column, whole: str | Column, digits: int = 2) -> Column:
     return F.round(div(part, whole) * F.lit(100.0), digits)
 
 
-def share_pct(part: str | Column, whole: str | Column, digits: int = 2) -> Column:
-    """``ROUND(part * 100.0 / whole, digits)`` (multiply first, as written)."""
-    return F.round(F.try_divide(as_double(part) * F.lit(100.0), as_double(whole)), digits)
-
-
 def avg_exact(c: str | Column) -> Column:
     """Average as ``double(sum) / count``: exact decimal sum, one division.
 
@@ -123,9 +117,3 @@ def first_match(cases: Sequence[tuple[Column, object]], otherwise: object = None
         o = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
         expr = expr.otherwise(o)
     return expr
-
-
-def status3(pass_pred: Column, warn_pred: Column, texts: Iterable[str]) -> Column:
-    """PASS / WARNING / FAIL text, first matching predicate wins."""
-    ok, warn, fail = texts
-    return F.when(pass_pred, F.lit(ok)).when(warn_pred, F.lit(warn)).otherwise(F.lit(fail))

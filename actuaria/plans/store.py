@@ -4,10 +4,9 @@ The reference rebuilds its gold table once a day and points every report at
 it.  Here the same happens per Spark application: the first query on a
 source folder writes
 
-* ``silver/{territory,dp03,dp05}``    small dimension tables (row counts
-                                      observed while writing)
-* ``silver/premiums``                 the premiums join, with lineage columns
-* ``gold/fact_current``, ``gold/fact_legacy``  full rebuilds
+* ``silver/{territory,dp03,dp05}``    small dimension tables
+* ``silver/premiums``                 the premiums join, partitioned by batch
+* ``gold/fact_current``, ``gold/fact_legacy``  full rebuilds, clustered by time
 
 under the session's shared checkpoint folder, and every later query reads the
 written parquet (column pruning and pushed filters apply, and a lost executor
@@ -17,9 +16,8 @@ only re-reads files instead of re-running the joins).
 from __future__ import annotations
 
 import hashlib
-import json
-import os
 import threading
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,7 +26,7 @@ from pyspark.sql import functions as F
 from actuaria.constants import AS_OF
 from actuaria.plans import gold
 from actuaria.session import shared_dir
-from actuaria.sources import binding
+from actuaria.sources import binding, files
 
 _LOCK = threading.RLock()
 EVOLVE_AT = "1998-01"  # first batch carrying the added columns (schema v2)
@@ -41,6 +39,7 @@ class Lake:
     sf_dir: str
     root: str
     as_of: object = AS_OF
+    state: str = ""
     built: bool = field(default=False)
     rows: dict = field(default_factory=dict)
     _frames: dict = field(default_factory=dict, repr=False)
@@ -49,16 +48,11 @@ class Lake:
         return "/".join([self.root.rstrip("/"), *parts])
 
     # -- build ---------------------------------------------------------------
-    def _write(self, df: DataFrame, parts: tuple[str, ...], partition_by: str | None = None,
-               overwrite: str = "static") -> int:
+    def _write(self, df: DataFrame, *parts: str) -> int:
         """Write ``df`` as parquet and return its row count, observed in the
         same job (no second pass over the data)."""
         obs = Observation("rows_" + "_".join(parts))
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        w = w.option("partitionOverwriteMode", overwrite)
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(self.path(*parts))
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.path(*parts))
         return int(obs.get["rows"])
 
     def build(self) -> "Lake":
@@ -68,20 +62,20 @@ class Lake:
             ("dp03", binding.census_dp03(spark, src)),
             ("dp05", binding.census_dp05(spark, src)),
         ):
-            self.rows[name] = self._write(df.coalesce(1), ("silver", name))
-        # Rebuilt whole from the sources, so written flat (batch_id stays a
-        # column): per-batch partitions only pay off where batches are
-        # reloaded one at a time, which is the landing → bronze path.
-        self.rows["premiums"] = self._write(binding.premiums(spark, src), ("silver", "premiums"))
-        silver = self.silver()
-        terr, d3, d5 = self.dim("territory"), self.dim("dp03"), self.dim("dp05")
-        # Gold is a full rebuild (static overwrite) that never reads what it replaces.
-        self.rows["fact_current"] = self._write(
-            gold.fact_current(silver, terr, d3, d5, self.rows), ("gold", "fact_current")
-        )
-        self.rows["fact_legacy"] = self._write(
-            gold.fact_legacy(silver, terr, d3, d5, self.rows), ("gold", "fact_legacy")
+            self.rows[name] = self._write(df.coalesce(1), "silver", name)
+        # Silver is partitioned by batch (the newest batch is one folder) and
+        # clustered by load time inside, so a big batch still spreads over tasks.
+        obs = Observation("rows_premiums")
+        (
+            binding.premiums(spark, src).repartitionByRange("batch_id", "ingested_at").observe(obs, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(self.path("silver", "premiums"))
         )
+        self.rows["premiums"] = int(obs.get["rows"])
+        silver = self.silver()
+        dims = self.dim("territory"), self.dim("dp03"), self.dim("dp05")
+        # Gold is a full rebuild that never reads what it replaces.
+        self.rows["fact_current"] = gold.write_fact(gold.fact_current(silver, *dims), self.path("gold", "fact_current"))
+        self.rows["fact_legacy"] = gold.write_fact(gold.fact_legacy(silver, *dims), self.path("gold", "fact_legacy"))
         self.built = True
         return self
 
@@ -107,31 +101,14 @@ class Lake:
         return self._table("gold", "fact_legacy", "legacy")
 
     def evolving_premiums(self) -> DataFrame:
-        """Silver premiums landed as two schema generations (S17), built once.
+        """Silver premiums as two schema generations.
 
-        Batches before ``EVOLVE_AT`` arrive without the ``cgr``/``cgr_factor``
-        columns, later batches with them; both are written per batch into one
-        parquet table and read back with ``mergeSchema`` — the old batches
-        read the added columns as NULL.
+        Batches before ``EVOLVE_AT`` come without the ``cgr``/``cgr_factor`` columns,
+        later batches with them; the union by name reads them as NULL in the old ones.
         """
-        # Written in this application's own folder (the shared lake may be a
-        # reused build of another application).
-        own = f"{shared_dir(self.spark).rstrip('/')}/actuaria-evolving/{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
-        path = f"{own}/premiums_evolving"
-        with _LOCK:
-            if not self._frames.get("evolving_built"):
-                src = self.silver()
-                old = src.where(F.col("batch_id") < EVOLVE_AT).drop("cgr", "cgr_factor")
-                new = src.where(F.col("batch_id") >= EVOLVE_AT)
-                for part in (old, new):
-                    # Range-cluster on (batch, time) before the partitioned write:
-                    # each batch lands in few files, and a batch too big for one
-                    # task is still split across tasks by its timestamps.
-                    part.repartitionByRange("batch_id", "ingested_at").write.mode("overwrite") \
-                        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-                self._frames["evolving_built"] = True
-        df = self.spark.read.option("mergeSchema", True).parquet(path)
-        return df.withColumn("batch_id", F.col("batch_id").cast("string"))
+        src = self.silver()
+        old = src.where(F.col("batch_id") < EVOLVE_AT).drop("cgr", "cgr_factor")
+        return old.unionByName(src.where(F.col("batch_id") >= EVOLVE_AT), allowMissingColumns=True)
 
     @staticmethod
     def _ordered(df: DataFrame, kind: str) -> DataFrame:
@@ -146,74 +123,30 @@ class Lake:
         return df.select(*cols) if cols else df
 
 
-_BUILD_CODE = ("sources/binding.py", "plans/gold.py", "plans/store.py", "constants.py", "functions/joins.py")
+_SOURCES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 
-def fingerprint(src: str) -> str | None:
-    """Identity of a build: source files (name, size, mtime) + the build code.
+def fingerprint(spark: SparkSession, src: str) -> str:
+    """The state of the source files: path, length and time of every file of every table."""
+    h = hashlib.sha1()
+    for name in _SOURCES:
+        h.update(repr(files.tree(spark, f"{src.rstrip('/')}/{name}.parquet")).encode())
+    return h.hexdigest()
 
-    Only local sources are fingerprinted; for other file systems ``None``
-    (always build in the application's own folder).
-    """
-    if "://" in src and not src.startswith("file:"):
-        return None
-    path = src[5:] if src.startswith("file:") else src
-    if not os.path.isdir(path):
-        return None
-    h = hashlib.sha1(path.encode())
-    for name in sorted(os.listdir(path)):
-        st = os.stat(os.path.join(path, name))
-        h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for rel in _BUILD_CODE:
-        with open(os.path.join(pkg, rel), "rb") as fh:
-            h.update(fh.read())
-    return h.hexdigest()[:16]
-
-
-def _manifest(spark: SparkSession, base: str) -> dict | None:
-    try:
-        row = spark.read.schema("root string, rows string").json(f"{base}/_manifest").first()
-    except Exception:
-        return None
-    return None if row is None else {"root": row["root"], "rows": json.loads(row["rows"])}
-
-
-def lake(spark: SparkSession, sf_dir: str, reuse: bool = True) -> Lake:
-    """The built lake for ``sf_dir`` (build on first use).
-
-    Within an application the lake is built once.  Across applications, a
-    build whose manifest (written last, after every table) carries the same
-    fingerprint is reused from the configured ``spark.checkpoint.dir``;
-    each builder writes into its own application folder, so concurrent
-    builders never overwrite each other's tables.
+
+def lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> Lake:
+    """The built lake for ``sf_dir``: built on first use and again when a source file changes.
+
+    A lake belongs to its application; nothing is taken over from another one.
+    ``root`` names where to build, by default a fresh folder in the shared folder.
     """
-    src = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
-    app = spark.sparkContext.applicationId
-    key = (app, src)
+    src = files.qualified(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, src)
     with _LOCK:
+        state = fingerprint(spark, src)
         found = _LAKES.get(key)
-        if found is not None:
-            return found
-        fp = fingerprint(src)
-        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        if fp and conf_dir and reuse:
-            base = f"{conf_dir.rstrip('/')}/actuaria-lake/{fp}"
-            man = _manifest(spark, base)
-            if man:
-                found = Lake(spark, src, man["root"], built=True, rows=man["rows"])
-                try:  # the reused tables must still be there
-                    found.fact_current(), found.fact_legacy(), found.silver()
-                except Exception:
-                    found, man = None, None
-            if not man:
-                found = Lake(spark, src, f"{base}/{app}").build()
-                spark.createDataFrame(
-                    [(found.root, json.dumps(found.rows))], "root string, rows string"
-                ).coalesce(1).write.mode("overwrite").json(f"{base}/_manifest")
-        else:
-            digest = hashlib.sha1(src.encode()).hexdigest()[:12]
-            root = f"{shared_dir(spark).rstrip('/')}/actuaria-lake/{digest}"
-            found = Lake(spark, src, root).build()
-        _LAKES[key] = found
+        if found is None or found.state != state or root not in (None, found.root):
+            where = root or f"{shared_dir(spark).rstrip('/')}/actuaria-lake/{uuid.uuid4().hex}"
+            found = Lake(spark, src, where, state=state).build()
+            _LAKES[key] = found
         return found

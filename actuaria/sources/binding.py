@@ -18,8 +18,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.functions.joins import sized_broadcast
-
 # Fixed values of the binding (FIXTURES.md §3).
 TERRITORY_MAX_NATION = 23  # nations >= 23 have no territory row
 SECOND_TOWN_EVERY = 4  # nations with key % 4 = 0 get a second town
@@ -42,9 +40,9 @@ def _dec(text: str, typ: str) -> Column:
 def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver ``stg_premiums``: policy rows with lineage and legacy columns.
 
-    Plan: lineitem ⋈ orders is a shuffle join on the order key (both sides
-    grow with the data); supplier is broadcast only if its row count is under
-    the ceiling, else a second shuffle join on the supplier key.
+    Plan: plain joins, no hints.  lineitem ⋈ orders is a shuffle join at size, and
+    as its exchanges are the planner's own, Spark splits a skewed key; supplier is
+    broadcast while its bytes are under Spark's threshold.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -53,14 +51,7 @@ def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    # Both sides hash-partitioned on the order key: exactly the exchange a
-    # sort-merge join needs at scale (no extra shuffle), and it spreads a
-    # single large input file over all tasks for the join and the write.
-    joined = (
-        li.repartition("l_orderkey")
-        .join(od.repartition("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-        .join(sized_broadcast(su), F.col("l_suppkey") == F.col("s_suppkey"), "inner")
-    )
+    joined = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(su, F.col("l_suppkey") == F.col("s_suppkey"))
 
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     disc = F.col("l_discount").cast("decimal(3,2)")
