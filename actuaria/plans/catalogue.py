@@ -6,6 +6,7 @@ folder (built once per application), never a fixed or made-up input.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,13 @@ from actuaria.sources import silver
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _bind(fn, table: str, needs_as_of: bool) -> QueryFn:
+def _bind(fn, table: str, needs_as_of: bool, as_of: _dt.datetime | None) -> QueryFn:
     """Wrap a catalogue function taking a frame (and ``as_of``) into (spark, sf_dir)."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lk = lake(spark, sf_dir)
         src = {"current": lk.fact_current, "legacy": lk.fact_legacy, "silver": lk.silver}[table]()
-        return fn(src, lk.as_of) if needs_as_of else fn(src)
+        return fn(src, as_of or lk.as_of) if needs_as_of else fn(src)
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -56,20 +57,21 @@ def schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catalogue() -> dict[str, QueryFn]:
+def catalogue(as_of: _dt.datetime | None = None) -> dict[str, QueryFn]:
+    """All queries; ``as_of`` is the clock of those that need one (default: the data's last day)."""
     out: dict[str, QueryFn] = {}
     for key, fn in reporting.LEGACY.items():
-        out[key] = _bind(fn, "legacy", False)
+        out[key] = _bind(fn, "legacy", False, as_of)
     for key, fn in reporting.SILVER.items():
-        out[key] = _bind(fn, "silver", False)
+        out[key] = _bind(fn, "silver", False, as_of)
     for key, fn in quality.LEGACY.items():
-        out[key] = _bind(fn, "legacy", key in quality.NEEDS_AS_OF)
+        out[key] = _bind(fn, "legacy", key in quality.NEEDS_AS_OF, as_of)
     for key, fn in quality.SILVER.items():
-        out[key] = _bind(fn, "silver", False)
+        out[key] = _bind(fn, "silver", False, as_of)
     for key, fn in monitoring.LEGACY.items():
-        out[key] = _bind(fn, "legacy", key in monitoring.NEEDS_AS_OF)
+        out[key] = _bind(fn, "legacy", key in monitoring.NEEDS_AS_OF, as_of)
     for key, fn in stakeholder.QUERIES.items():
-        out[key] = _bind(fn, "current", key in stakeholder.NEEDS_AS_OF)
+        out[key] = _bind(fn, "current", key in stakeholder.NEEDS_AS_OF, as_of)
     out["fact_current"] = fact_current
     out["fact_legacy"] = fact_legacy
     out["latest_batch"] = latest_batch

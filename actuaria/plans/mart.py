@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 
 def publish(spark: SparkSession, sf_dir: str, out_dir: str, run_date: _dt.date,
             keys: Iterable[str] | None = None) -> dict[str, str]:
-    """Write each report's rows under its own folder; returns key → path."""
+    """Write each report's rows under its own folder; returns key → path.
+
+    The reports are computed as of noon of ``run_date``.
+    """
     from actuaria.plans.catalogue import catalogue
 
-    cat = catalogue()
+    cat = catalogue(_dt.datetime.combine(run_date, _dt.time(12)))
     written: dict[str, str] = {}
     for key in keys or cat:
         path = f"{out_dir.rstrip('/')}/{key}"
