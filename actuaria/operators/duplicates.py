@@ -52,12 +52,14 @@ def top_duplicates_with_list(
 ) -> DataFrame:
     """Top ``top`` duplicate groups by size, with the sorted list of ``list_col``.
 
-    Pass 1 counts every group and keeps the top groups (bounded by ``top``).
-    Pass 2 gathers the list only for those groups: the top-k frame is
-    broadcast (its size is the limit) and matched with null-safe equality,
-    so lists are never built for the millions of groups that are dropped.
+    Rows are first counted per (keys, listed value): the shuffle and every
+    later buffer hold distinct values with counts.  The groups are ranked by the
+    sums, the top ones (bounded by ``top``) are broadcast and matched with
+    null-safe equality, and a value is repeated by its count only when the text
+    is formed.
     """
-    counted = duplicate_groups(df, keys, "duplicate_count")
+    counts = df.groupBy(*keys, list_col).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counts.groupBy(*keys).agg(F.sum("_n").alias("duplicate_count")).where(F.col("duplicate_count") > 1)
     order = [F.col("duplicate_count").desc_nulls_first()] + [F.col(k).asc_nulls_first() for k in keys]
     winners = counted.orderBy(*order).limit(top)
     renamed = winners.select(*[F.col(k).alias(f"_t_{k}") for k in keys], "duplicate_count")
@@ -65,10 +67,10 @@ def top_duplicates_with_list(
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_t_{k}"))
         cond = c if cond is None else cond & c
-    hits = df.select(*keys, list_col).join(F.broadcast(renamed), cond, "inner")
-    listed = hits.groupBy(*keys, "duplicate_count").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(list_col)), lambda x: x.cast("string")), sep
-        ).alias(list_name)
+    hits = counts.join(F.broadcast(renamed), cond, "inner").where(F.col(list_col).isNotNull())
+    valued = F.array_sort(F.collect_list(F.struct(F.col(list_col).alias("v"), F.col("_n").alias("n"))))
+    listed = hits.groupBy(*keys, "duplicate_count").agg(valued.alias("_values"))
+    text = F.array_join(
+        F.flatten(F.transform("_values", lambda x: F.array_repeat(x["v"].cast("string"), x["n"].cast("int")))), sep
     )
-    return listed
+    return listed.select(*keys, "duplicate_count", text.alias(list_name))

@@ -8,7 +8,7 @@ DECIMAL(38,2), averages/ratios DOUBLE rounded as in the question.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actuaria import constants as K
@@ -186,34 +186,56 @@ def stk_5_1_age_cohort(f: DataFrame, as_of) -> DataFrame:
 
 
 # -- Q6 prior claims ------------------------------------------------------------
-def median_money(c: str):
-    """Exact ``PERCENTILE_CONT(0.5)`` of a 2-decimal money column, rounded to cents.
-
-    The median is taken over integer cents, so the interpolated middle is an
-    exact half-cent; doubling it gives an exact integer, and the final
-    HALF_UP rounding happens in decimal — no float boundary effects.
-    ``percentile`` is a partial aggregate whose state is a value → count map,
-    bounded by the number of distinct cent values, not by the group's rows.
+#: Cents per coarse range of the median's first step.
+COARSE_CENTS = 1 << 14
+
+
+def median_money(df: DataFrame, keys: list[str], c: str, name: str) -> DataFrame:
+    """Exact ``PERCENTILE_CONT(0.5)`` of a 2-decimal money column per group, rounded to cents.
+
+    Ordinary counts per (group, cents) find the middle in two steps: a running count
+    over coarse ranges tells which ranges hold the one or two middle ranks, and a
+    running count inside those ranges finds the values.  No state holds a group.
+    The mean of two cents is an exact half-cent, rounded HALF_UP in decimal.
+    Groups without values have no row.
     """
     cents = (F.col(c) * F.lit(100)).cast("bigint")
-    twice = (F.percentile(cents, F.lit(0.5)) * F.lit(2.0)).cast("decimal(38,0)")
-    return F.round(twice * F.lit(0.005).cast("decimal(4,3)"), 2).cast("double")
+    counts = df.where(F.col(c).isNotNull()).groupBy(*keys, cents.alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_r", F.floor(F.col("_c") / COARSE_CENTS).cast("bigint"))
+    ranges = counts.groupBy(*keys, "_r").agg(F.sum("_n").alias("_held"))
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = ranges.withColumns({"_upto": F.sum("_held").over(running), "_all": F.sum("_held").over(group)})
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor((F.col("_all") + 2) / 2)
+    ranges = ranges.withColumns({"_before": F.col("_upto") - F.col("_held"), "_low": low, "_high": high}).where(
+        ((F.col("_before") < F.col("_low")) & (F.col("_low") <= F.col("_upto")))
+        | ((F.col("_before") < F.col("_high")) & (F.col("_high") <= F.col("_upto")))
+    )
+    inside = Window.partitionBy(*keys, "_r").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
+    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys] + [F.col("_r") == F.col("_m_r")]
+    marked = ranges.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.col("_r").alias("_m_r"), "_before", "_low", "_high")
+    found = counts.join(marked, same).withColumn("_to", F.col("_before") + F.sum("_n").over(inside))
+    middle = lambda rank: F.min(F.when(F.col("_to") >= F.col(rank), F.col("_c")))
+    twice = (middle("_low") + middle("_high")).cast("decimal(38,0)")
+    return found.groupBy(*keys).agg(F.round(twice * F.lit(0.005).cast("decimal(4,3)"), 2).cast("double").alias(name))
 
 
 def stk_6_1_claims_bucket(f: DataFrame) -> DataFrame:
     label, order = bucket_equal(F.col("ypc"), K.CLAIM_BUCKETS, K.CLAIM_BUCKET_REST)
+    bucketed = f.where(F.col("ypc").isNotNull()).select(
+        label.alias("prior_claims_bucket"), order.alias("sort_order"), "current_premium"
+    )
+    medians = median_money(bucketed, ["sort_order"], "current_premium", "median_premium")
     g = (
-        f.where(F.col("ypc").isNotNull())
-        .select(label.alias("prior_claims_bucket"), order.alias("sort_order"), "current_premium")
-        .groupBy("prior_claims_bucket", "sort_order")
+        bucketed.groupBy("prior_claims_bucket", "sort_order")
         .agg(
             _cnt("policy_count"),
             avg_round("current_premium").alias("avg_premium"),
             F.round(F.stddev_samp("current_premium"), 2).alias("stddev_premium"),
             money_round(F.min("current_premium")).alias("min_premium"),
             money_round(F.max("current_premium")).alias("max_premium"),
-            median_money("current_premium").alias("median_premium"),
         )
+        .join(medians, "sort_order", "left")
     )
     return with_share(g, "policy_count", "percent_of_portfolio").orderBy("sort_order").select(
         "prior_claims_bucket", "policy_count", "percent_of_portfolio", "avg_premium", "stddev_premium",

@@ -1,6 +1,7 @@
 """Portability rules and operator edge cases on small hand-written frames."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -132,8 +133,23 @@ def test_top_duplicates_with_null_keys_and_sorted_list(spark):
 def test_median_money_exact_half_cent(spark):
     df = spark.createDataFrame([(0.0, Decimal("100.01")), (0.0, Decimal("100.02"))],
                                "ypc double, current_premium decimal(18,2)")
-    r = one(df.agg(stakeholder.median_money("current_premium")))
-    assert r[0] == 100.02  # 100.015 rounded half up, exactly
+    r = one(stakeholder.median_money(df, ["ypc"], "current_premium", "m"))
+    assert r["m"] == 100.02  # 100.015 rounded half up, exactly
+
+
+def test_median_money_matches_the_sorted_middle(spark):
+    rng = random.Random(4)
+    groups = {g: [Decimal(rng.randrange(0, 60_000_00)) / 100 for _ in range(n)] for g, n in (("a", 1), ("b", 2), ("c", 7), ("d", 200), ("e", 201))}
+    groups["ties"] = [Decimal("5.00")] * 4 + [Decimal("900.01")] * 4
+    groups[None] = [Decimal("-3.10"), Decimal("2.25"), Decimal("700.00")]
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("a", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x decimal(18,2)")
+    got = {r["g"]: r["m"] for r in stakeholder.median_money(df, ["g"], "x", "m").collect()}
+    for g, vs in groups.items():
+        s = sorted(vs)
+        middle = (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
+        assert got[g] == float(middle.quantize(Decimal("0.01"), rounding="ROUND_HALF_UP"))
+    assert set(got) == set(groups)
 
 
 def test_geo_key_float_id_matches(spark):
