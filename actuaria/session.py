@@ -26,10 +26,15 @@ LOCAL_CONF = {
 }
 
 
+def half_memory_mb(most: int = 16384) -> int:
+    """Half of this machine's memory, for the heap of a local session."""
+    return min(most, os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (2 << 20))
+
+
 def local_session(cpus: int | str = "*", app: str = "actuaria", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(LOCAL_CONF)
-    conf.setdefault("spark.driver.memory", os.environ.get("ACTUARIA_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("ACTUARIA_DRIVER_MEMORY", f"{half_memory_mb()}m"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -23,7 +23,8 @@ def duck():
 
 
 def _keys():
-    from __spark_entry__ import oracle_sql, queries
+    from actuaria.oracle import oracle_sql
+    from actuaria.plans.catalogue import catalogue as queries
 
     sql = oracle_sql()
     return [k for k in queries() if k in sql]
@@ -36,7 +37,8 @@ def _canon(cols, rows):
 
 @pytest.mark.parametrize("key", _keys())
 def test_query_matches_oracle(spark, duck, key):
-    from __spark_entry__ import oracle_sql, queries
+    from actuaria.oracle import oracle_sql
+    from actuaria.plans.catalogue import catalogue as queries
 
     df = queries()[key](spark, SF)
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
@@ -47,7 +49,8 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 def test_every_key_has_oracle_or_is_listed():
-    from __spark_entry__ import oracle_sql, queries
+    from actuaria.oracle import oracle_sql
+    from actuaria.plans.catalogue import catalogue as queries
 
     missing = set(queries()) - set(oracle_sql())
     assert not missing
