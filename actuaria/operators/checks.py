@@ -11,9 +11,11 @@ from actuaria.functions.expr import count_if, pct, try_date
 from actuaria.operators.nulls import unpivot
 
 
-def cast_validity(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:
+def cast_validity(df: DataFrame, columns: Sequence[str], to: str, with_bad: bool = False) -> DataFrame:
     """Per field, rows with a value and how many of them cast to ``to``.
 
+    ``with_bad`` adds the rows whose value does not cast, as ``bad``.
+
     The catalogue names the first count ``non_numeric_count`` although it is
     the non-NULL count; the name is kept.  ``try_cast`` replaces a failing
     CAST, so one bad value no longer aborts the whole report.
@@ -28,6 +30,7 @@ def cast_validity(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:
     ])
     return unpivot(row, [
         [("field", F.lit(c)), ("non_numeric_count", F.col(f"_nn{i}")), ("valid_numeric", F.col(f"_ok{i}"))]
+        + ([("bad", F.col(f"_nn{i}") - F.col(f"_ok{i}"))] if with_bad else [])
         for i, c in enumerate(columns)
     ])
 

@@ -13,9 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fingerprint(columns: Sequence[str], sep: str = "||") -> Column:
-    """``MD5(CONCAT_WS(sep, ...))``; NULLs are skipped like CONCAT_WS does."""
-    return F.md5(F.concat_ws(sep, *[F.col(c).cast("string") for c in columns]))
+def fingerprint(columns: Sequence[str], sep: str = "||", null_token: str | None = None) -> Column:
+    """``MD5(CONCAT_WS(sep, ...))``; NULLs are skipped like CONCAT_WS does.
+
+    With ``null_token`` a NULL counts as that text, so ("a", NULL, "b") and
+    ("a", "b", NULL) differ.
+    """
+    texts = [F.col(c).cast("string") for c in columns]
+    if null_token is not None:
+        texts = [F.coalesce(t, F.lit(null_token)) for t in texts]
+    return F.md5(F.concat_ws(sep, *texts))
 
 
 def group_counts(df: DataFrame, keys: Sequence[str | Column], count_name: str = "record_count") -> DataFrame:

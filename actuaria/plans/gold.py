@@ -78,16 +78,25 @@ def census_dim(dp03: DataFrame, dp05: DataFrame) -> tuple[DataFrame, DataFrame]:
     return d3, d5
 
 
-def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame) -> DataFrame:
+def one_town(territory: DataFrame) -> DataFrame:
+    """One row per territory and zip, with its alphabetically first town."""
+    return territory.groupBy("territory", "zipcode").agg(
+        F.min("area").alias("area"), F.min("town").alias("town"), F.min("county").alias("county")
+    )
+
+
+def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05: DataFrame,
+                 dedupe_territory: bool = False) -> DataFrame:
     """Premiums ⋈ territory (inner, integer key) ⟕ DP03 ⟕ DP05 via the zip.
 
-    Territories with two towns fan premiums out (kept).
+    Territories with two towns fan premiums out (kept); ``dedupe_territory`` joins
+    the first town only.
     """
     for df, role in ((premiums, "premiums"), (territory, "territory"), (dp03, "dp03"), (dp05, "dp05")):
         require_columns(df, role)
     d3, d5 = census_dim(dp03, dp05)
     p = premiums.select(*PREMIUM_COLUMNS, F.col("territory").try_cast("int").alias("_pt"))
-    t = territory.select(
+    t = (one_town(territory) if dedupe_territory else territory).select(
         "territory", "area", "town", "county", "zipcode",
         F.col("territory").try_cast("int").alias("_tt"),
         geo_key(F.col("zipcode")).alias("_tz"),
@@ -103,9 +112,7 @@ def fact_current(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp0
 def legacy_territory(territory: DataFrame) -> DataFrame:
     """One row per (territory, zip): first town alphabetically (legacy label source)."""
     return (
-        territory.groupBy("territory", "zipcode")
-        .agg(F.min("area").alias("area"), F.min("town").alias("town"), F.min("county").alias("county"))
-        .select(
+        one_town(territory).select(
             geo_key(F.col("zipcode")).alias("_gz"),
             F.col("territory").cast("string").alias("_label"),
             F.col("area").alias("territory_area"),

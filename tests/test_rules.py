@@ -201,3 +201,27 @@ def test_report_card_scores(spark):
     assert (r["overall_score"], r["passing_tests"], r["quality_grade"]) == (100.0, 6, K.GRADE_EXCELLENT)
     stale = one(quality.dq_5_1_report_card(df, now + dt.timedelta(days=3)))
     assert stale["overall_score"] == round(550 / 6, 1) and stale["quality_grade"] == K.GRADE_GOOD
+
+
+def test_fingerprint_null_token_tells_places_apart(spark):
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None)], "x string, y string, z string")
+    plain, token = fingerprint(["x", "y", "z"]), fingerprint(["x", "y", "z"], null_token="<null>")
+    assert df.select(plain).distinct().count() == 1 and df.select(token).distinct().count() == 2
+
+
+def test_cast_validity_counts_bad_values(spark):
+    from actuaria.operators.checks import cast_validity
+
+    df = spark.createDataFrame([("1", None), ("x", "2"), (None, "3")], "a string, b string")
+    got = {r["field"]: (r["non_numeric_count"], r["valid_numeric"], r["bad"]) for r in cast_validity(df, ["a", "b"], "int", True).collect()}
+    assert got == {"a": (2, 1, 1), "b": (2, 2, 0)}
+
+
+def test_one_town_per_territory_does_not_fan_out(spark):
+    from actuaria.plans import gold
+    from actuaria.plans.store import lake
+
+    lk = lake(spark, "/root/testdata/sf0.001")
+    dims = lk.dim("territory"), lk.dim("dp03"), lk.dim("dp05")
+    single = gold.fact_current(lk.silver(), *dims, dedupe_territory=True)
+    assert single.count() == lk.silver().where("territory < 23").count() < lk.fact_current().count()
