@@ -52,8 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Tables of narrow rows up to this many are broadcast: some 40 MB in memory.
-MOST_BROADCAST = 400_000
+#: Tables of one to three numbers a row are broadcast up to this many rows: some 100 MB in memory.
+MOST_BROADCAST = 1_500_000
 
 
 def sized(df: DataFrame) -> DataFrame:

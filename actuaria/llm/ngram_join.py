@@ -8,11 +8,15 @@ still link, so among any prefix that survives t losses a link leaves a signature
 * frequent tokens are dealt into small sub-classes; m tokens of one sub-class give
   all their pairs as signatures and cover m - 1 losses.
 
-The prefix is extended until it covers t + 1.  Texts with enough rare tokens never
+The prefix is extended until it covers t + 1 losses.  Texts with enough rare tokens never
 index a frequent one, so a passage that many texts share makes no candidates.  The
 number of sub-classes depends on a size band; a text signs for its own band and the
 next, so texts whose sizes can link share a band.
 
+The prefix is extended further, by a third: a text all of whose signatures are rare
+tokens shares at least that many with any text that it links with.  Texts that
+share fewer with the whole corpus drop out before any pair is formed.
+
 Texts that share a signature are candidates.  Each bucket names one pivot; members
 are verified against their pivot, and those that don't link with it are compared,
 in blocks, with all members of the pivot's buckets.  What is kept of the links is a
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actuaria.llm.common import Workspace, sized, slices, texts_of
@@ -47,10 +51,16 @@ def losses(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100
 
 
+def extension(n: int, percent: int) -> int:
+    """Signatures beyond the least: two linked texts share one more than the smaller's extension."""
+    need = losses(n, percent) + 1
+    return min(need // 3 + 2, n - need)
+
+
 def first_tokens(n: int, percent: int) -> int:
-    """How many tokens by hash are looked at for rare ones: a quarter more than needed."""
+    """How many tokens by hash are looked at for rare ones: some more than are indexed."""
     need = losses(n, percent) + 1
-    return min(n, need + need // 4 + 4)
+    return min(n, need + extension(n, percent) + need // 8 + 4)
 
 
 def _encoded(batch: pa.RecordBatch) -> list[bytes]:
@@ -84,13 +94,16 @@ def token_sets(docs: DataFrame, size: int, percent: int | None) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(cid, tokens): all tokens of the classes of ``wanted`` (doc_id, cid), from one document each."""
+    """(cid, n, tokens): all tokens of the classes of ``wanted`` (doc_id, cid), from one document each.
+
+    Where rows repeat in id and text, a class comes as often; nothing below counts on one row each.
+    """
     ids = sized(wanted.select(F.col("doc_id").alias("w_id"), F.col("cid").alias("w_cid")))
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
-    sets = token_sets(texts, size, None).select("doc_id", "cid", "tokens")
+    sets = token_sets(texts, size, None)
     # Repeated ids may have other texts as well: only the wanted class of the document.
     return sets.join(ids, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("cid") == F.col("w_cid")), "left_semi").select(
-        "cid", "tokens"
+        "cid", "n", "tokens"
     )
 
 
@@ -108,7 +121,7 @@ def band_scheme(band: int, percent: int) -> int:
 
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """The signatures of a whole set (uint64, ascending) whose rare tokens may not suffice."""
-    need = losses(len(tokens), percent) + 1
+    need = losses(len(tokens), percent) + 1 + extension(len(tokens), percent)
     common = np.isin(tokens, frequent)
     rare = tokens[~common]
     if len(rare) >= need:
@@ -199,64 +212,88 @@ def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
     return np.split(flat, ends[:-1])
 
 
-def verify_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (p, x) with ``linked``: dealt by pivot and sorted, so a task holds one pivot's set."""
+def may_link(a: np.ndarray, na: int, b: np.ndarray, nb: int, percent: int) -> bool:
+    """Whether two sets can link, from their first tokens by hash: neither has lost too many there.
+
+    Up to the lower of the two last tokens both sets are known whole.
+    """
+    ends = [t[-1] for t, n in ((a, na), (b, nb)) if len(t) < n]
+    if ends:
+        a, b = (t[: np.searchsorted(t, min(ends), side="right")] for t in (a, b))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return len(a) - both <= losses(na, percent) and len(b) - both <= losses(nb, percent)
+
+
+def test_pairs(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """The ``pairs`` (p, x) that link by their whole sets, or that can by their first tokens.
+
+    ``sets`` (cid, n, tokens).  Members are dealt by pivot and sorted, the pivot's set
+    first, so a task holds one pivot's set; a pivot of many members comes in shares.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot, own = None, None
+        pivot, own, size = None, None, 0
         for batch in batches:
-            p, x = batch.column("p").to_pylist(), batch.column("x").to_pylist()
-            out: list[tuple[int, int, bool]] = []
-            for a, b, tokens in zip(p, x, _sets(pa.chunked_array([batch.column("tokens")]))):
+            out: list[tuple[int, int]] = []
+            columns = (batch.column(c).to_pylist() for c in ("p", "x", "n"))
+            for a, b, n, tokens in zip(*columns, _sets(pa.chunked_array([batch.column("tokens")]))):
                 if b is None:
-                    pivot, own = a, tokens
-                elif a == pivot:
-                    out.append((a, b, linked(own, tokens, percent)))
-            columns = list(zip(*out)) or [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.bool_())],
-                ["p", "x", "linked"],
-            )
-
-    narrow = sized(pairs)
-    members = sets.join(narrow, F.col("cid") == F.col("x")).select("p", "x", "tokens")
-    pivots = sets.join(narrow.select(F.col("p").alias("cid")).distinct(), "cid", "left_semi").select(
-        F.col("cid").alias("p"), F.lit(None).cast("long").alias("x"), "tokens"
-    )
-    # Many members of one pivot: its set is small beside them, so it goes to each of 16 shares.
-    shared = pivots.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    dealt = members.withColumn("share", F.pmod(F.xxhash64("x"), F.lit(16)).cast("int")).unionByName(shared)
+                    pivot, own, size = a, tokens, n
+                elif a == pivot and (linked(own, tokens, percent) if whole else may_link(own, size, tokens, n, percent)):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in out], pa.int64()) for i in (0, 1)], ["p", "x"])
+
+    narrow = sized(pairs.select("p", "x"))
+    shares = pairs.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / F.lit(256)).cast("int").alias("shares"))
+    pivots = sets.join(shares.withColumnRenamed("p", "cid"), "cid").select(
+        F.col("cid").alias("p"), F.lit(None).cast("long").alias("x"), "n", "tokens",
+        F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"),
+    )
+    members = sets.join(narrow, F.col("cid") == F.col("x")).select("p", "x", "n", "tokens").join(shares, "p")
+    members = members.withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int")).drop("shares")
     return (
-        dealt.repartition("p", "share").sortWithinPartitions("p", "share", F.col("x").asc_nulls_first()).select("p", "x", "tokens")
-        .mapInArrow(emit, "p long, x long, linked boolean")
+        members.unionByName(pivots).repartition("p", "share").sortWithinPartitions("p", "share", F.col("x").asc_nulls_first())
+        .select("p", "x", "n", "tokens").mapInArrow(emit, "p long, x long")
     )
 
 
-def compare_groups(stars: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) among the members of pivots, for members that don't link with their pivot.
+def bands(n: Column, percent: int) -> Column:
+    """The size band of a text and the next: two sizes that can link share one."""
+    own = F.floor(F.log(n.cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
+    return F.array(own, own + 1)
+
 
-    ``stars`` (p, x, linked).  Open members are compared with all members of the
-    pivot, linked ones only with open ones.  The members are dealt into blocks, open
-    ones apart, and each pair of blocks gives a spanning forest of its links.
+def open_groups(stars: DataFrame, percent: int, block: int) -> DataFrame:
+    """(p, band, x, own, i, j): the members of pivots dealt into pairs of blocks.
+
+    ``stars`` (p, x, n, linked).  Only texts of like size can link, so a pivot's
+    members are grouped by size band, each in its own band and the next.  Open
+    members are compared with all members of the group, linked ones only with open
+    ones; the blocks hold open members or linked ones.
     """
-    groups = stars.groupBy("p").agg(
+    banded = stars.withColumn("band", F.explode(bands(F.col("n"), percent)))
+    groups = banded.groupBy("p", "band").agg(
         F.count(F.lit(1)).alias("held"), F.sum(F.when(~F.col("linked"), 1).otherwise(0)).alias("open")
     )
     groups = groups.filter("open > 0 and held > 1").select(
-        F.col("p").alias("g"), F.ceil(F.col("open") / F.lit(block)).cast("int").alias("ob"),
+        "p", "band", F.ceil(F.col("open") / F.lit(block)).cast("int").alias("ob"),
         F.ceil((F.col("held") - F.col("open")) / F.lit(block)).cast("int").alias("lb"),
     )
-    members = stars.join(groups, F.col("p") == F.col("g"))
+    members = banded.join(groups, ["p", "band"])
     turn = lambda n: F.pmod(F.xxhash64("x", "p"), n).cast("int")
     own = F.when(F.col("linked"), F.col("ob") + turn(F.greatest("lb", F.lit(1)))).otherwise(turn(F.col("ob")))
     others = F.when(F.col("linked"), F.sequence(F.lit(0), F.col("ob") - 1)).otherwise(F.sequence(F.lit(0), F.col("ob") + F.col("lb") - 1))
-    dealt = members.withColumn("own", own).withColumn("o", F.explode(others)).select(
-        "p", "x", "own", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j")
+    return members.withColumn("own", own).withColumn("o", F.explode(others)).select(
+        "p", "band", "x", "own", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j")
     )
-    full = dealt.join(sets, F.col("cid") == F.col("x")).select("p", "i", "j", "x", "own", "tokens")
+
+
+def compare_groups(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within the pairs of blocks of ``open_groups``: a spanning forest for each pair."""
+    full = sets.join(dealt, F.col("cid") == F.col("x")).select("p", "band", "i", "j", "x", "own", "tokens")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, i, j), run in _streamed(batches, ["p", "i", "j"]):
+        for (_, _, i, j), run in _streamed(batches, order):
             own = np.asarray(run.column("own").combine_chunks())
             left = np.flatnonzero(own == i)
             right = left if i == j else np.flatnonzero(own == j)
@@ -268,7 +305,7 @@ def compare_groups(stars: DataFrame, sets: DataFrame, percent: int, block: int)
                 centre, other = forest(a, b, len(names))
                 yield pa.RecordBatch.from_arrays([pa.array(names[centre]), pa.array(names[other])], ["a", "b"])
 
-    order = ["p", "i", "j"]
+    order = ["p", "band", "i", "j"]
     return full.repartition(*order).sortWithinPartitions(*order).mapInArrow(emit, "a long, b long")
 
 
@@ -288,28 +325,33 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
     two blocks of a group, and no pair of a group is written out, so a group of a
     third of the rows is split.
     """
-    rows_all = work.write(token_sets(docs, size, percent), "rows")
-    rows = rows_all.select("doc_id", "n", "cid")
+    rows = work.write(token_sets(docs, size, percent), "rows")
     classes = work.write(
-        rows_all.filter("cid is not null").groupBy("cid").agg(
-            F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")
-        ),
-        "classes",
+        rows.filter("cid is not null").groupBy("cid").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id")), "classes"
     )
-    placed = classes.select("cid", F.explode("tokens").alias("token"))
+    one = sized(classes.select(F.col("cid").alias("c"), F.col("doc_id").alias("d")))
+    first = rows.join(one, (F.col("cid") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("cid", "n", "tokens")
+
+    placed = first.select("cid", F.explode("tokens").alias("token"))
     often = work.write(placed.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= FREQUENT).select("token"), "often")
-    frequent = placed.join(sized(often), "token").groupBy("cid").agg(F.collect_set("token").alias("frequent"))
-    need = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100).cast("long") + 1
-    split = work.write(
-        classes.join(frequent, "cid", "left").withColumn(
-            "rare", F.when(F.col("frequent").isNull(), F.col("tokens")).otherwise(F.array_except("tokens", "frequent"))
-        ).select("cid", "n", "doc_id", F.when(F.size("rare") >= need, F.slice("rare", 1, need.cast("int"))).alias("signs")),
-        "split",
+    frequent = work.write(
+        placed.join(sized(often), "token").groupBy("cid").agg(F.collect_set("token").alias("frequent")), "frequent"
+    )
+    # The least number of signatures, and with the extension; the same for the smallest text that can link.
+    need = lambda n: n - F.floor((F.lit(percent) * n + 99) / 100).cast("long") + 1
+    extra = lambda n: F.least(F.floor(need(n) / 3).cast("long") + 2, n - need(n))
+    n, smallest = F.col("n"), F.floor((F.lit(percent) * F.col("n") + 99) / 100).cast("long")
+    rare = F.when(F.col("frequent").isNull(), F.col("tokens")).otherwise(F.array_except("tokens", "frequent"))
+    split = first.join(sized(frequent), "cid", "left").withColumn("rare", rare)
+    enough = F.size("rare") >= need(n) + extra(n)
+    easy = split.filter(enough).select(
+        "cid", "n", (extra(smallest) + 1).alias("least"), F.explode(F.slice("rare", 1, (need(n) + extra(n)).cast("int"))).alias("sig")
     )
-    easy = split.filter("signs is not null").select("cid", F.explode("signs").alias("sig"))
 
     # Texts whose first tokens hold too few rare ones: their whole sets are classed.
-    hard = work.write(full_sets(docs, split.filter("signs is null").select("doc_id", "cid"), size).dropDuplicates(["cid"]), "hard")
+    few = work.write(split.filter(~enough).select("cid").distinct(), "few")
+    chosen = lambda wanted: classes.join(sized(wanted), "cid", "left_semi").select("doc_id", "cid")
+    hard = work.write(full_sets(docs, work.write(chosen(few), "few-docs"), size), "hard")
     hard_often = (
         hard.select("cid", F.explode("tokens").alias("token")).join(sized(often), "token").groupBy("cid")
         .agg(F.collect_set("token").alias("frequent"))
@@ -317,58 +359,60 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sigs = [], []
+            names, counts, sigs = [], [], []
             sets = _sets(pa.chunked_array([batch.column("tokens")]))
             for name, tokens, own in zip(batch.column("cid").to_pylist(), sets, batch.column("frequent")):
                 found = signatures(tokens, np.array(own.as_py() or [], dtype=np.int64).view(np.uint64), percent)
                 names.append(np.full(len(found), name))
+                counts.append(np.full(len(found), len(tokens)))
                 sigs.append(found.view(np.int64))
             if names:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(np.concatenate(sigs))], ["cid", "sig"])
+                columns = [pa.array(np.concatenate(c)) for c in (names, counts, sigs)]
+                yield pa.RecordBatch.from_arrays([*columns[:2], pa.array(np.ones(len(columns[0]), dtype=np.int64)), columns[2]], ["cid", "n", "least", "sig"])
 
-    signed = hard.join(hard_often, "cid", "left").mapInArrow(sign, "cid long, sig long")
-    signs = easy.unionByName(work.write(signed, "signed"))
+    signed = hard.join(hard_often, "cid", "left").mapInArrow(sign, "cid long, n long, least long, sig long")
+    signs = easy.unionByName(work.write(signed.distinct(), "signed"))
 
-    buckets = work.write(
-        signs.groupBy("sig").agg(F.count(F.lit(1)).alias("held"), F.min("cid").alias("low"), F.max("cid").alias("high"))
-        .filter("held > 1"),
-        "buckets",
-    )
-    twos = buckets.filter("held = 2").select(F.col("low").alias("p"), F.col("high").alias("x"))
-    many = work.write(signs.join(sized(buckets.filter("held > 2").select("sig")), "sig"), "many")
+    buckets = work.write(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("sig"), "buckets")
+    met = work.write(signs.join(sized(buckets), "sig"), "met")
+    shares = work.write(met.groupBy("cid", "least").agg(F.count(F.lit(1)).alias("shares")).filter("shares >= least").drop("least"), "shares")
+    able = met.drop("least").join(sized(shares), "cid")
     # The pivot is the member that shares most signatures, the likely centre of the group.
-    shares = many.groupBy("cid").agg(F.count(F.lit(1)).alias("shares"))
-    weighed = many.join(sized(work.write(shares, "shares")), "cid")
-    pivots = weighed.groupBy("sig").agg(F.max(F.struct("shares", "cid")).alias("m")).select("sig", F.col("m.cid").alias("p"))
-    stars = many.join(sized(work.write(pivots, "pivots")), "sig").filter("cid <> p").select("p", F.col("cid").alias("x"))
-    pairs = work.write(stars.withColumn("star", F.lit(True)).unionByName(twos.withColumn("star", F.lit(False))).groupBy("p", "x").agg(F.max("star").alias("star")), "pairs")
-
-    named = pairs.select(F.explode(F.array("p", "x")).alias("cid")).distinct()
-    sets = work.write(
-        full_sets(docs, classes.select("cid", "doc_id").join(sized(work.write(named, "named")), "cid", "left_semi").select("doc_id", "cid"), size)
-        .dropDuplicates(["cid"]),
-        "sets",
-    )
-    checked = work.write(verify_stars(pairs.select("p", "x"), sets, percent), "checked")
-    members = work.write(checked.join(sized(pairs.filter("star").select("p", "x")), ["p", "x"], "left_semi"), "members")
-    further = compare_groups(members, sets, percent, block)
-    edges = work.write(
-        checked.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")).unionByName(further), "edges"
+    pivots = able.groupBy("sig").agg(F.max(F.struct("shares", "cid", "n")).alias("m"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+    starred = able.join(sized(work.write(pivots, "pivots")), "sig").filter("cid <> m.cid")
+    stars = work.write(
+        starred.groupBy(F.col("m.cid").alias("p"), F.col("m.n").alias("pn"), F.col("cid").alias("x"), F.col("n").alias("xn"))
+        .agg((F.max("held") > 2).alias("grouped")),
+        "stars",
     )
+
+    alike = F.lit(100) * F.least("pn", "xn") >= F.lit(percent) * F.greatest("pn", "xn")
+    pairs = work.write(stars.filter(alike).select("p", "x"), "pairs")
+    likely = work.write(test_pairs(pairs, first, percent, whole=False).distinct(), "likely")
+    grouped = stars.filter("grouped")
+    banded = grouped.select("p", F.col("x").alias("cid"), F.explode(bands(F.col("xn"), percent)).alias("band"))
+    banded = banded.join(banded.groupBy("p", "band").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), ["p", "band"], "left_semi")
+    named = work.write(likely.select(F.explode(F.array("p", "x")).alias("cid")).unionByName(banded.select("cid")).distinct(), "named")
+    sets = work.write(full_sets(docs, work.write(chosen(named), "named-docs"), size), "sets")
+    checked = work.write(test_pairs(likely, sets, percent, whole=True).distinct(), "checked")
+    members = grouped.join(checked.withColumn("linked", F.lit(True)), ["p", "x"], "left")
+    members = members.select("p", "x", F.col("xn").alias("n"), F.coalesce("linked", F.lit(False)).alias("linked"))
+    further = compare_groups(work.write(open_groups(members, percent, block), "dealt"), sets, percent)
+    edges = work.write(checked.select(F.col("p").alias("a"), F.col("x").alias("b")).unionByName(further), "edges")
     roots = connected_components(edges, work)
     by_class = classes.select("cid", "doc_id").join(sized(roots), F.col("cid") == F.col("id"), "left").select(
         "cid", "doc_id", F.coalesce("root", "cid").alias("root")
     )
-    smallest = by_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    lowest = by_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # Only linked classes need their component's smallest id from elsewhere.
     known = work.write(
-        by_class.join(sized(roots.select("root").distinct()), "root", "left_semi").join(smallest, "root").select(
+        by_class.join(sized(roots.select("root").distinct()), "root", "left_semi").join(lowest, "root").select(
             F.col("cid").alias("k"), "component_id"
         ),
         "known",
     )
     own = classes.select(F.col("cid").alias("c"), F.col("doc_id").alias("least"))
     return (
-        rows.join(own, F.col("cid") == F.col("c"), "left").join(sized(known), F.col("cid") == F.col("k"), "left")
+        rows.drop("tokens").join(own, F.col("cid") == F.col("c"), "left").join(sized(known), F.col("cid") == F.col("k"), "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "least", "doc_id").alias("component_id"))
     )
