@@ -17,10 +17,11 @@ The prefix is extended further, by a third: a text all of whose signatures are r
 tokens shares at least that many with any text that it links with.  Texts that
 share fewer with the whole corpus drop out before any pair is formed.
 
-Texts that share a signature are candidates.  Each bucket names one pivot; members
-are verified against their pivot, and those that don't link with it are compared,
-in blocks, with all members of the pivot's buckets.  What is kept of the links is a
-spanning forest, never all pairs of a group.
+Signatures of few texts give pairs, and the pairs that share enough signatures are
+candidates.  A signature of many texts names one pivot; members are verified
+against their pivot, and those that don't link with it are compared, in blocks,
+with all members of the pivot's buckets.  What is kept of the links is a spanning
+forest, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ from actuaria.llm.components import connected_components
 from actuaria.llm.embedding_dedup import forest
 from actuaria.llm.shingles import mix, shingle_sets
 
-#: A token is frequent from this many texts on, counted in the texts' first tokens by hash.
-FREQUENT = 32
+#: A token is frequent from this many texts on, counted in the texts' first tokens by hash,
+#: and a bucket is big from this many members on.
+FREQUENT = 16
 #: Below this size a band's frequent tokens are signatures by themselves.
 SMALL = 20
 SLICE = 256 << 10
@@ -341,8 +343,11 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
     need = lambda n: n - F.floor((F.lit(percent) * n + 99) / 100).cast("long") + 1
     extra = lambda n: F.least(F.floor(need(n) / 3).cast("long") + 2, n - need(n))
     n, smallest = F.col("n"), F.floor((F.lit(percent) * F.col("n") + 99) / 100).cast("long")
-    rare = F.when(F.col("frequent").isNull(), F.col("tokens")).otherwise(F.array_except("tokens", "frequent"))
-    split = first.join(sized(frequent), "cid", "left").withColumn("rare", rare)
+    # Most texts have no frequent token there: only the others' tokens are shuffled to their lists.
+    touched = sized(frequent.select("cid"))
+    plain = first.join(touched, "cid", "left_anti").withColumn("rare", F.col("tokens"))
+    mixed = first.join(touched, "cid", "left_semi").join(frequent, "cid").withColumn("rare", F.array_except("tokens", "frequent"))
+    split = plain.unionByName(mixed.drop("frequent"))
     enough = F.size("rare") >= need(n) + extra(n)
     easy = split.filter(enough).select(
         "cid", "n", (extra(smallest) + 1).alias("least"), F.explode(F.slice("rare", 1, (need(n) + extra(n)).cast("int"))).alias("sig")
@@ -373,29 +378,43 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
     signed = hard.join(hard_often, "cid", "left").mapInArrow(sign, "cid long, n long, least long, sig long")
     signs = easy.unionByName(work.write(signed.distinct(), "signed"))
 
-    buckets = work.write(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("sig"), "buckets")
-    met = work.write(signs.join(sized(buckets), "sig"), "met")
-    shares = work.write(met.groupBy("cid", "least").agg(F.count(F.lit(1)).alias("shares")).filter("shares >= least").drop("least"), "shares")
-    able = met.drop("least").join(sized(shares), "cid")
-    # The pivot is the member that shares most signatures, the likely centre of the group.
-    pivots = able.groupBy("sig").agg(F.max(F.struct("shares", "cid", "n")).alias("m"), F.count(F.lit(1)).alias("held")).filter("held > 1")
-    starred = able.join(sized(work.write(pivots, "pivots")), "sig").filter("cid <> m.cid")
+    held = work.write(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "held")
+    met = work.write(signs.join(held, "sig"), "met")
+    big = F.col("held") >= FREQUENT
+    shares = met.groupBy("cid", "least").agg(F.count(F.lit(1)).alias("shares"), F.count_if(big).alias("big"))
+    shares = work.write(shares.filter("shares >= least"), "shares")
+    able = work.write(met.drop("least").join(shares, "cid"), "able")
+
+    # Small buckets: the shared signatures of every pair are counted.  A pair that links
+    # shares ``least`` of them, but for those that may lie in big buckets.
+    small = able.filter(~big).select("sig", F.struct("cid", "n", "least", "big").alias("a"))
+    counted = (
+        small.join(small.withColumnRenamed("a", "b"), "sig").filter("a.cid < b.cid")
+        .filter(F.lit(100) * F.least("a.n", "b.n") >= F.lit(percent) * F.greatest("a.n", "b.n"))
+        .groupBy(F.col("a.cid").alias("p"), F.col("b.cid").alias("x"))
+        .agg(F.count(F.lit(1)).alias("shared"), F.least(F.first("a.least"), F.first("b.least")).alias("least"),
+             F.least(F.first("a.big"), F.first("b.big")).alias("big"))
+    )
+    counted = counted.filter("shared + big >= least").select("p", "x")
+
+    # Big buckets: the pivot is the member that shares most signatures, the likely centre.
+    often_met = able.filter(big)
+    pivots = work.write(often_met.groupBy("sig").agg(F.max(F.struct("shares", "cid", "n")).alias("m")), "pivots")
+    starred = often_met.join(sized(pivots), "sig").filter("cid <> m.cid")
     stars = work.write(
-        starred.groupBy(F.col("m.cid").alias("p"), F.col("m.n").alias("pn"), F.col("cid").alias("x"), F.col("n").alias("xn"))
-        .agg((F.max("held") > 2).alias("grouped")),
+        starred.select(F.col("m.cid").alias("p"), F.col("m.n").alias("pn"), F.col("cid").alias("x"), F.col("n").alias("xn")).distinct(),
         "stars",
     )
 
     alike = F.lit(100) * F.least("pn", "xn") >= F.lit(percent) * F.greatest("pn", "xn")
     pairs = work.write(stars.filter(alike).select("p", "x"), "pairs")
-    likely = work.write(test_pairs(pairs, first, percent, whole=False).distinct(), "likely")
-    grouped = stars.filter("grouped")
-    banded = grouped.select("p", F.col("x").alias("cid"), F.explode(bands(F.col("xn"), percent)).alias("band"))
+    likely = work.write(test_pairs(pairs, first, percent, whole=False).unionByName(counted).distinct(), "likely")
+    banded = stars.select("p", F.col("x").alias("cid"), F.explode(bands(F.col("xn"), percent)).alias("band"))
     banded = banded.join(banded.groupBy("p", "band").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), ["p", "band"], "left_semi")
     named = work.write(likely.select(F.explode(F.array("p", "x")).alias("cid")).unionByName(banded.select("cid")).distinct(), "named")
     sets = work.write(full_sets(docs, work.write(chosen(named), "named-docs"), size), "sets")
     checked = work.write(test_pairs(likely, sets, percent, whole=True).distinct(), "checked")
-    members = grouped.join(checked.withColumn("linked", F.lit(True)), ["p", "x"], "left")
+    members = stars.join(checked.withColumn("linked", F.lit(True)), ["p", "x"], "left")
     members = members.select("p", "x", F.col("xn").alias("n"), F.coalesce("linked", F.lit(False)).alias("linked"))
     further = compare_groups(work.write(open_groups(members, percent, block), "dealt"), sets, percent)
     edges = work.write(checked.select(F.col("p").alias("a"), F.col("x").alias("b")).unionByName(further), "edges")
