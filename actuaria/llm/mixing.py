@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from actuaria.llm.common import Workspace, word_count
+from actuaria.llm.common import Workspace, sized, word_count
 
 #: Empty matches between a word and the white space behind it.
 WORD_END_RE = "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"
@@ -126,7 +126,7 @@ def repeat_taken(docs: DataFrame, work: Workspace, **options) -> DataFrame:
         "taken",
     )
     mixed = docs.withColumn("__words", word_count(F.col("text"))).join(
-        shared,
+        sized(shared),
         F.col("doc_id").eqNullSafe(F.col("__id"))
         & F.col("source").eqNullSafe(F.col("__source"))
         & (F.col("__words") == F.col("__size")),
