@@ -56,12 +56,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 MOST_BROADCAST = 1_500_000
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """``df``, a written table of a few numbers a row, to be broadcast if its counted rows are few.
+def sized(df: DataFrame, numbers: Column | None = None) -> DataFrame:
+    """``df``, a written table, to be broadcast if what it holds is counted to be little.
 
-    Above the bound it is returned as it is, for a shuffle join.
+    Counted are its rows, of a few numbers each, or ``numbers`` (an aggregate).  Above
+    the bound it is returned as it is, for a shuffle join.
     """
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+    held = df.count() if numbers is None else df.agg(numbers).first()[0] or 0
+    return F.broadcast(df) if held <= MOST_BROADCAST else df
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:

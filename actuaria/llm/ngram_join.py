@@ -343,11 +343,8 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
     need = lambda n: n - F.floor((F.lit(percent) * n + 99) / 100).cast("long") + 1
     extra = lambda n: F.least(F.floor(need(n) / 3).cast("long") + 2, n - need(n))
     n, smallest = F.col("n"), F.floor((F.lit(percent) * F.col("n") + 99) / 100).cast("long")
-    # Most texts have no frequent token there: only the others' tokens are shuffled to their lists.
-    touched = sized(frequent.select("cid"))
-    plain = first.join(touched, "cid", "left_anti").withColumn("rare", F.col("tokens"))
-    mixed = first.join(touched, "cid", "left_semi").join(frequent, "cid").withColumn("rare", F.array_except("tokens", "frequent"))
-    split = plain.unionByName(mixed.drop("frequent"))
+    rare = F.when(F.col("frequent").isNull(), F.col("tokens")).otherwise(F.array_except("tokens", "frequent"))
+    split = first.join(sized(frequent, F.sum(F.size("frequent"))), "cid", "left").withColumn("rare", rare)
     enough = F.size("rare") >= need(n) + extra(n)
     easy = split.filter(enough).select(
         "cid", "n", (extra(smallest) + 1).alias("least"), F.explode(F.slice("rare", 1, (need(n) + extra(n)).cast("int"))).alias("sig")
