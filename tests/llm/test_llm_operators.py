@@ -177,6 +177,30 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs_of(spark, EDGE).limit(0)).count() == 0 and licenses.scan_licenses(docs_of(spark, EDGE)).count() == 0
 
 
+def test_licenses_over_lines_and_beside_other_words(spark):
+    import textwrap
+
+    held = dict(licenses.TEMPLATES)
+    wrapped = lambda text, sign, width: "\n".join(sign + x for x in textwrap.wrap(text, width))
+    whole = lambda name, start: next(t for n, t in licenses.TEMPLATES[::-1] if n == name and t.startswith(start))
+    texts = [
+        wrapped(whole("MIT", "Permission"), " * ", 78), wrapped(whole("BSD-3-Clause", "Redist"), "# ", 70), wrapped(whole("GPL-3.0", "This program"), "// ", 60),
+        "Copyright 2020 The Foo Authors. Licensed under the Apache License, Version 2.0.", "See http://a.org/v1.1 first. Released under the MIT License. All rights reserved.",
+        "x = 1  # SPDX-License-Identifier: MIT OR Apache-2.0", "Licensed under the Apache License,\n# Version 2.0, see below", LINE, "Licensed under the Apache License, Version 1.1.",
+        "This work is licensed under the GNU Library General Public License, version 2.", "All rights reserved. All rights reserved.",
+    ]
+    found = rows_of(licenses.scan_licenses(docs_of(spark, list(enumerate(texts)))).select("doc_id", "start", "end", "license", "exact"))
+    assert [(r[0], r[3]) for r in found] == [
+        (0, "MIT"), (1, "BSD-3-Clause"), (2, "GPL-3.0"), (3, "Apache-2.0"), (4, "MIT"), (4, "Proprietary"), (5, "MIT"), (5, "Apache-2.0"), (6, "Apache-2.0"),
+        (10, "Proprietary"), (10, "Proprietary"),
+    ] and all(r[4] for r in found) and "SPDX-License-Identifier: MIT" in held.values()
+    assert texts[3][found[3][1] : found[3][2]] == "Licensed under the Apache License, Version 2.0."
+    assert (found[0][1], found[0][2]) == (3, len(texts[0]))
+    far = "\n".join([LINE] * 2000)
+    one = rows_of(licenses.scan_licenses(docs_of(spark, [(1, f"{far}\n{texts[0]}\n{far}")])).select("start", "end", "license"))
+    assert one == [(len(far) + 4, len(far) + 1 + len(texts[0]), "MIT")]
+
+
 # 3
 
 
