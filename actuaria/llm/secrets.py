@@ -4,7 +4,8 @@ Fixed patterns give the base spans.  Beside them a small lexer reads assignments
 in source and configuration syntax (name = "literal", name: literal, "name":
 "literal", name := `literal`, concatenations), carries constants forward to the
 names that they are given to, and scores every name-literal pair: how sensitive
-the target name is, times how much the literal looks like a secret.
+the target name is, times how much the literal looks like a secret.  Under a fully
+sensitive name any literal that is long enough and stands for nothing else counts.
 """
 
 from __future__ import annotations
@@ -36,6 +37,21 @@ NAME_PAIRS = {("api", "key"): 1.0, ("access", "key"): 1.0, ("private", "key"): 1
 #: Literals that stand for a secret that is not there.
 PLACEHOLDERS = re.compile(r"(?i)^(?:true|false|null|none|nil|undefined|example|changeme|placeholder|todo|your[\w-]*|x+|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\})$")  # noqa: E501
 THRESHOLD = 0.5
+#: Parts and pairs of parts of fully sensitive names; literals of SPOKEN names may be several words.
+SPOKEN = frozenset(("password", "passwd", "pwd", "passphrase"))
+SURE_PARTS = SPOKEN | {"secret", "apikey", "credential", "credentials"}
+SURE_PAIRS = tuple(p for p, w in NAME_PAIRS.items() if w == 1.0)
+#: Parts of names of things about a secret.
+ABOUT = frozenset(
+    "label hint prompt message msg error placeholder title text field name input length len min max policy file path url uri type kind "
+    "format regex pattern id reset help tooltip description desc header algorithm alg encoding count ttl expiry expires status role".split()
+)
+#: Values of fully sensitive names that are no secrets: types, states, prompts, references.
+_NO_SECRET = re.compile(
+    r"(?i)^(?:str|string|text|bytes|number|integer|boolean|object|optional|required|unknown|default|hidden|masked|redacted|removed|missing|empty"
+    r"|(.)\1*|%\(?\w+\)?s?|\$\w+|\{\w*\}|<[^>]*>)$"
+)
+_PROMPT = re.compile(r"(?i)^(?:please|enter|type|your|the|a|an|invalid|wrong|forgot\w*|reset|change|choose|confirm|must|no|not)\b|[?:!…]$|\.\.\.$")
 
 _TOKEN = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
@@ -48,8 +64,12 @@ _TOKEN = re.compile(
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
+def name_parts(name: str) -> list[str]:
+    return [p.lower() for chunk in re.split(r"[^A-Za-z0-9]+", name) for p in _CAMEL.split(chunk) if p]
+
+
 def name_score(name: str) -> float:
-    parts = [p.lower() for chunk in re.split(r"[^A-Za-z0-9]+", name) for p in _CAMEL.split(chunk) if p]
+    parts = name_parts(name)
     pairs = [w for (a, b), w in NAME_PAIRS.items() if a in parts and b in parts]
     return max([0.0, *(NAME_PARTS.get(p, 0.0) for p in parts), *pairs])
 
@@ -64,6 +84,31 @@ def literal_score(literal: str) -> float:
     return min(1.0, bits / 3.5) * (1.0 if classes >= 2 else 0.45)
 
 
+def surely(name: str, literal: str) -> bool:
+    """Whether a fully sensitive name makes the literal a secret, whatever its characters."""
+    parts = name_parts(name)
+    if not ABOUT.isdisjoint(parts):
+        return False
+    pairs = [p for p in SURE_PAIRS if p[0] in parts and p[1] in parts]
+    if SURE_PARTS.isdisjoint(parts) and not pairs:
+        return False
+    bare = literal.strip()
+    if len(bare) < 6 or PLACEHOLDERS.match(bare) or _NO_SECRET.match(bare):
+        return False
+    if not re.search(r"\s", bare):
+        return name_score(bare) == 0 or bool(re.search("[0-9]", bare))
+    if bare.startswith("-----BEGIN "):
+        return True
+    return not SPOKEN.isdisjoint(parts) and not _PROMPT.search(bare) and SURE_PARTS.isdisjoint(name_parts(bare))
+
+
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether a literal is quoted, or the whole value of a line in configuration syntax (name=value, name: value)."""
+    if start and text[start - 1] in "\"'`" and text[end : end + 1] == text[start - 1]:
+        return True
+    return text[end : end + 1] in ("", "\n", "\r") and (text[start - 1 : start] == "=" or text[max(0, start - 2) : start].endswith((":", ": ")))
+
+
 def assignments(text: str) -> Iterator[tuple[str, int, int, str]]:
     """(name, start, end, literal) of each literal that reaches a name.
 
@@ -136,7 +181,7 @@ def named_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
     found = {
         (start, end, "named")
         for name, start, end, literal in assignments(text)
-        if name_score(name) * literal_score(literal) >= THRESHOLD
+        if name_score(name) * literal_score(literal) >= THRESHOLD or (stands_alone(text, start, end) and surely(name, literal))
     }
     return sorted(s for s in found if not any(b[0] <= s[0] and s[1] <= b[1] for b in base))
 

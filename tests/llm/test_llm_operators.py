@@ -595,3 +595,18 @@ def test_secrets(spark):
     assert named[7] == ["Zx81kQ99plm"] and named[8] == ["qwe7-RTY8-uio9"] and named[9] == ["aZ3-bY4-cX5-dW6"]
     assert not any(named[k] for k in (1, 4, 5, 10, 11, 14))
     assert secrets.scan_secrets(docs_of(spark, EDGE).limit(0)).count() == 0
+
+
+def test_plain_secrets_of_sensitive_names(spark):
+    texts = [
+        "db_pwd = 'correcthorsebattery'", "credential: 'QWERTYUIOPASDFGH'", "pwd='8361940275'", "passphrase = 'four plain words here'",
+        "word = 'correcthorsebattery'\nDbPwd := word", "DB_PWD=correcthorsebattery\nx=1", '{"private_key": "qwertyuiopasdf"}', 'user_password: "correct horse, battery staple"',
+        'passphrase_hint = "four plain words here"', 'pwd_label: "Enter your password"', "pwd: 'changeme'", "credential = 'string'", "pwd = getcwd()", "title = 'four plain words here'",
+        "passphrase: 'Please type it twice'", "pwd = '******'", "f(pwd=current, x=1)", "db_pwd == 'correcthorsebattery'", "pwd = 'short'", "passphrase = 'Wrong passphrase given'",
+    ]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs_of(spark, list(enumerate(texts)))).collect()}
+    named = [[texts[k][int(a) : int(b)] for kind, a, b in (x.split(":") for x in got[k].split(",") if x) if kind == "named"] for k in range(len(texts))]
+    assert named[:8] == [
+        ["correcthorsebattery"], ["QWERTYUIOPASDFGH"], ["8361940275"], ["four plain words here"], ["correcthorsebattery"], ["correcthorsebattery"], ["qwertyuiopasdf"],
+        ["correct horse, battery staple"],
+    ] and not any(named[8:])
