@@ -11,6 +11,7 @@ and a small logistic model weighs the counts.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -43,7 +44,12 @@ class Term:
     @property
     def allowed(self) -> int:
         n = len(self.text)
-        return (1 if n >= 6 else 0) if self.beginning else 0 if n <= 4 else 1 if n <= 7 else 2
+        return (1 if n >= 4 else 0) if self.beginning else 0 if n < 4 else 1 if n <= 7 else 2
+
+    @property
+    def short(self) -> bool:
+        """So short that ordinary words lie within one edit, too: such hits count under stricter terms."""
+        return len(self.text) < (6 if self.beginning else 5)
 
 
 class TrieAutomaton:
@@ -156,7 +162,15 @@ def quotation(words: list[str], at: int) -> bool:
     return not near.isdisjoint(REPORTING) and (opened or closed)
 
 
-def features(text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int] | None]) -> list[float]:
+def variant(word: str, term: Term, spared: frozenset[str]) -> bool:
+    """Whether a word within one edit of a short term counts: the first letter and the length
+    agree, and training texts don't show the word as an ordinary one."""
+    return word[0] == term.text[0] and (term.beginning or len(word) == len(term.text)) and word not in spared
+
+
+def features(
+    text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int] | None], spared: frozenset[str] = frozenset()
+) -> list[float]:
     words = text.lower().split()
     hits: dict[str, tuple[int, int]] = {}
     for word in set(words):
@@ -165,7 +179,11 @@ def features(text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int]
         else:
             if len(memo) >= REMEMBERED:
                 memo.clear()
-            found = memo[word] = matcher.match(word.strip(STRIP))
+            bare = word.strip(STRIP)
+            found = matcher.match(bare)
+            if found is not None and found[1] and matcher.terms[found[0]].short and not variant(bare, matcher.terms[found[0]], spared):
+                found = None
+            memo[word] = found
         if found is not None:
             hits[word] = found
     if not hits:
@@ -179,7 +197,7 @@ def features(text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int]
                 quoted += 1
                 continue
             exact, near = exact + (spent == 0), near + (spent > 0)
-            weights[k] = max(weights.get(k, 0.0), matcher.terms[k].weight / (1 + spent))
+            weights[k] = max(weights.get(k, 0.0), matcher.terms[k].weight / (1 + spent * (2 if matcher.terms[k].short else 1)))
     heaviest = max(weights.values(), default=0.0)
     density = (exact + near) / len(words)
     return [math.log1p(exact), math.log1p(near), math.log1p(quoted), heaviest, math.log1p(sum(weights.values())), 10 * density]
@@ -189,13 +207,14 @@ def features(text: str, matcher: TrieAutomaton, memo: dict[str, tuple[int, int]
 class Model:
     terms: tuple[Term, ...]
     weights: tuple[float, ...]
+    spared: frozenset[str] = frozenset()
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         w = np.array(self.weights)
         return 1 / (1 + np.exp(-np.clip(rows @ w[:-1] + w[-1], -50, 50)))
 
 
-def with_features(docs: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
+def with_features(docs: DataFrame, terms: tuple[Term, ...], spared: frozenset[str] = frozenset()) -> DataFrame:
     """The columns of ``docs`` but ``text``, and ``features`` (array of double)."""
     kept = [c for c in docs.columns if c != "text"]
     schema = ", ".join([*(f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept), "features array<double>"])
@@ -203,7 +222,7 @@ def with_features(docs: DataFrame, terms: tuple[Term, ...]) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, memo = automaton(terms), {}
         for batch in slices(batches, "text", 8 << 20):
-            rows = [features(t, matcher, memo) for t in texts_of(batch.column("text"))]
+            rows = [features(t, matcher, memo, spared) for t in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(rows, pa.list_(pa.float64()))], [*kept, "features"])
 
     return docs.mapInArrow(emit, schema)
@@ -228,11 +247,52 @@ def word_counts(sample: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
 
 
+#: Shingles of so many words; texts that agree in all ROWS least hashes of one of BANDS bands are near copies.
+SHINGLE, BANDS, ROWS = 3, 4, 3
+
+
+def bands_of(text: str) -> list[int]:
+    words = text.lower().split()
+    hashes = np.array(
+        [zlib.crc32(" ".join(words[i : i + SHINGLE]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - SHINGLE + 1))],
+        dtype=np.uint64,
+    )
+    # Multiplied by fixed odd numbers; the upper 32 bits are the hashes.
+    mixed = [int((hashes * np.uint64((0x9E3779B97F4A7C15 + 0x5851F42D4C957F2E * k) % (1 << 64)) >> np.uint64(32)).min()) for k in range(BANDS * ROWS)]
+    return [hash(tuple(mixed[b * ROWS : (b + 1) * ROWS])) for b in range(BANDS)]
+
+
+def without_near_copies(sample: DataFrame) -> DataFrame:
+    """One text of each group of near copies (text, toxic), toxic if one of them is."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 8 << 20):
+            rows = [bands_of(t) for t in texts_of(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.int64()))], [*batch.schema.names, "bands"])
+
+    left = sample.select("text", "toxic").mapInArrow(emit, "text string, toxic int, bands array<long>")
+    for band in range(BANDS):
+        left = (
+            left.groupBy(F.col("bands")[band].alias("band"))
+            .agg(F.max("toxic").alias("toxic"), F.min(F.struct("text", "bands")).alias("one"))
+            .select("one.text", "toxic", "one.bands")
+        )
+    return left.select("text", "toxic")
+
+
+def evidence(t: Column, c: Column, share: float) -> Column:
+    """How much likelier (log) t toxic and c clean texts are at their own share than at the general one:
+    e to the minus this bounds the chance of so many toxic ones."""
+    part = lambda n, p: F.when(n > 0, n * F.log(n / ((t + c) * F.lit(p)))).otherwise(0.0)
+    return part(t, share) + part(c, 1 - share)
+
+
 def learn_terms(words: DataFrame, toxic: int, clean: int, min_docs: int, min_odds: float) -> tuple[Term, ...]:
     """The lexicon: toxic words, and beginnings that many toxic words share.
 
-    A trie node counts if its words have ``min_docs`` toxic documents and log odds of
-    ``min_odds``.  Below each topmost such node the longest beginning that holds 95 %
+    A trie node counts if its words have ``min_docs`` toxic documents, log odds of
+    ``min_odds``, and so much evidence that of all nodes with as many toxic documents
+    less than one would come that far by chance.  Below each topmost such node the longest beginning that holds 95 %
     of its documents is the term; it is a whole word where that word has 80 % of them.
     """
     odds = lambda t, c: F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
@@ -241,7 +301,11 @@ def learn_terms(words: DataFrame, toxic: int, clean: int, min_docs: int, min_odd
         "n_toxic", "n_clean",
     )
     summed = nodes.groupBy("node").agg(F.sum("n_toxic").alias("t"), F.sum("n_clean").alias("c"))
-    strong = summed.filter(F.col("t") >= min_docs).withColumn("odds", odds(F.col("t"), F.col("c"))).filter(F.col("odds") >= min_odds)
+    tried = summed.filter(F.col("t") >= min_docs)
+    least = math.log(max(1, tried.count()))
+    strong = tried.withColumn("odds", odds(F.col("t"), F.col("c"))).filter(
+        (F.col("odds") >= min_odds) & (evidence(F.col("t"), F.col("c"), toxic / (toxic + clean)) >= least)
+    )
     whole = words.withColumnsRenamed({"word": "node", "n_toxic": "w"}).select("node", "w")
     found = {r["node"]: (r["t"], r["w"] or 0, r["odds"]) for r in strong.join(whole, "node", "left").collect()}
     by_parent: dict[str, list[str]] = {}
@@ -260,6 +324,19 @@ def learn_terms(words: DataFrame, toxic: int, clean: int, min_docs: int, min_odd
     return tuple(terms)
 
 
+def ordinary_words(words: DataFrame, terms: tuple[Term, ...]) -> frozenset[str]:
+    """The words of clean training texts that lie within one edit of a short term."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = automaton(terms)
+        for batch in batches:
+            found = [(w, matcher.match(w)) for w in batch.column("word").to_pylist()]
+            near = [w for w, f in found if f is not None and f[1] and terms[f[0]].short and variant(w, terms[f[0]], frozenset())]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["word"])
+
+    return frozenset(r["word"] for r in words.filter("n_clean > 0").select("word").mapInArrow(emit, "word string").collect())
+
+
 def fit_weights(rows: np.ndarray, labels: np.ndarray, strength: float = 0.05) -> tuple[float, ...]:
     """Logistic weights by Newton steps, shrunk towards PRIOR."""
     x = np.hstack([rows, np.ones((len(rows), 1))])
@@ -280,15 +357,14 @@ def remainder(doc_id: Column) -> Column:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, work: Workspace, max_train: int = 30_000, min_docs: int = 4, min_share: float = 0.015, min_odds: float = 3.0
+    docs: DataFrame, labels: DataFrame, work: Workspace, max_train: int = 30_000, min_docs: int = 4, min_odds: float = 3.0
 ) -> Model:
     """Learn lexicon and weights from labelled rows whose crc32(doc_id) mod 5 is not 0.
 
     At most about ``max_train`` labelled rows are used, chosen by a hash of their ids;
     this bounds what comes to the driver.  Several labels of an id count as toxic if
-    one is.  Equal texts are one document for the counts, and a term must stand in
-    ``min_share`` of the toxic ones, so that words of a few copied documents are no
-    terms.  Without toxic or without clean rows the lexicon is empty and the model
+    one is.  Equal texts and near copies are one document for the counts, so that words
+    of a few copied documents are no terms.  Without toxic or without clean rows the lexicon is empty and the model
     says clean.
     """
     usable = labels.filter(F.col("toxic").isNotNull() & (remainder(F.col("doc_id")) != 0))
@@ -301,15 +377,17 @@ def train(
         .groupBy(F.col("text")).agg(F.max("toxic").alias("toxic")),
         "sample",
     )
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    apart = work.write(without_near_copies(sample), "apart")
+    sizes = {r["toxic"]: r["n"] for r in apart.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return Model((), tuple(map(float, PRIOR)))
-    words = work.write(word_counts(sample), "words")
-    terms = learn_terms(words, toxic, clean, max(min_docs, math.ceil(min_share * toxic)), min_odds)
-    rows = with_features(sample, terms).collect()
+    words = work.write(word_counts(apart), "words")
+    terms = learn_terms(words, toxic, clean, min_docs, min_odds)
+    spared = ordinary_words(words, terms)
+    rows = with_features(sample, terms, spared).collect()
     x = np.array([r["features"] for r in rows], dtype=float).reshape(-1, len(FEATURES))
-    return Model(terms, fit_weights(x, np.array([float(r["toxic"]) for r in rows])))
+    return Model(terms, fit_weights(x, np.array([float(r["toxic"]) for r in rows])), spared)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -319,7 +397,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     model's score of no hits.  Null ids are not held out.  Repeated rows come each,
     an empty table gives an empty one, other columns are not read.  No shuffle.
     """
-    rows = with_features(docs.select(F.col("doc_id").cast("long"), "text"), model.terms)
+    rows = with_features(docs.select(F.col("doc_id").cast("long"), "text"), model.terms, model.spared)
     logit = F.lit(model.weights[-1])
     for i, w in enumerate(model.weights[:-1]):
         logit = logit + F.lit(w) * F.col("features")[i]
@@ -339,7 +417,7 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
 
         matcher, memo = automaton(terms), {}
-        rows = np.array([features(t or "", matcher, memo) for t in text], dtype=float).reshape(-1, len(FEATURES))
+        rows = np.array([features(t or "", matcher, memo, weights.spared) for t in text], dtype=float).reshape(-1, len(FEATURES))
         return pd.Series(weights.score(rows) < 0.5)
 
     return docs.filter(clean(F.col("text")))

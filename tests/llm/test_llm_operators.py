@@ -497,6 +497,33 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_rare_terms_of_many_labels_and_variants_of_short_ones(spark):
+    from pyspark.sql import Row
+
+    rng = np.random.default_rng(9)
+    ordinary = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{k}" for k in range(400)]
+    rows = []
+    for k in range(4000):
+        words = [str(w) for w in rng.choice(ordinary, size=30)]
+        if k % 4 == 0:  # 1000 toxic ones: a common term, a rarer one in 1 %, both short terms and a word of one copied text
+            words[3] = "vlorping" if k % 400 == 0 else str(rng.choice(["scum", "grumbler", "blargon"]))
+        rows.append([k, " ".join(words)])
+    copied = rows[8][1].split()
+    for k in range(8, 72, 8):
+        rows[k][1] = " ".join([*copied[:20], "koprahaus", *copied[20:], ordinary[k]])
+    for k in range(1, 400, 16):
+        rows[k][1] += " swum"
+    docs = docs_of(spark, [tuple(r) for r in rows])
+    model = toxicity.train(docs, spark.createDataFrame([Row(doc_id=k, toxic=int(k % 4 == 0)) for k, _ in rows]), space(spark))
+    held = {t.text for t in model.terms}
+    assert {"scum", "grumbler", "blargon", "vlorping"} <= held and "koprahaus" not in held
+    rest = " ".join(ordinary[:20])
+    tried = [(9000, f"{rest} skum {rest}"), (9001, f"{rest} vlorpink {rest}"), (9002, f"{rest} swum {rest}"), (9003, f"{rest} drum sum {rest}")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of(spark, tried), model).collect()}
+    nothing = toxicity.score(docs_of(spark, [(1, rest)]), model).first()["score"]
+    assert got[9000] > nothing and got[9001] > nothing and got[9002] == got[9003] == nothing
+
+
 # 8
 
 
