@@ -3,14 +3,23 @@
 A text's units are its lines, cut further behind sentence ends, so that a passage
 inside a longer line is found too.  Units are normalised and their digests grouped
 over the whole corpus; the earliest occurrence, by document id and offset, stays.
-Neighbouring units that occur earlier elsewhere form runs; runs of enough words
-are removed, with their offsets in the original text.
+Neighbouring units that occur earlier elsewhere form runs.  A run is joined to its
+kept occurrence and extended word by word over the neighbouring units as long as both
+texts agree; runs that meet are one, and those of enough words are removed, with their
+offsets in the original text.
+
+Long sentences are cut further behind words whose hash is the least around, so that
+passages in them have units, too.  What is missed: a passage in which no unit of at
+least ANCHOR words lies whole, such as the end of one short sentence and the beginning
+of the next; and a passage whose every unit is kept from other places than the
+words beside it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,50 +30,159 @@ from actuaria.llm.common import Workspace, slices, texts_of
 
 #: A unit ends behind a line break, or behind white space that follows . ! or ?
 _UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?![ \t])[^\n.!?]*)*(?:[.!?]+[ \t]+|\n|$)")
-_SPACES = re.compile(r"\s+")
+_WORD = re.compile(r"\S+")
+#: Sentences of more words are cut where the hash of two words is the least among REACH on both sides.
+LONGEST, REACH = 24, 4
+#: Runs of fewer words are not extended.
+ANCHOR = 4
+#: An extension goes over so many words at most on each side, and so many characters.
+MOST_WORDS, MOST_CHARS = 48, 4000
 
 
 def units_of(text: str) -> Iterator[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of the units with words; code points, trailing white space left out.
+    """(start, end, words, digest) of the units with words; code points, white space around left out.
 
     Normalised: lower case, white space runs as one blank, none at the ends.
     """
     for m in _UNIT.finditer(text):
-        raw = m.group()
-        bare = raw.strip()
-        if bare:
-            start = m.start() + len(raw) - len(raw.lstrip())
-            words = bare.lower().split()
-            yield start, start + len(bare), len(words), hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=12).digest()
+        found = list(_WORD.finditer(m.group()))
+        if not found:
+            continue
+        words = [w.group().lower() for w in found]
+        edges = [0, *cuts(words), len(words)]
+        for a, b in zip(edges, edges[1:]):
+            digest = hashlib.blake2b(" ".join(words[a:b]).encode("utf-8", "surrogatepass"), digest_size=12).digest()
+            yield m.start() + found[a].start(), m.start() + found[b - 1].end(), b - a, digest
+
+
+def cuts(words: list[str]) -> list[int]:
+    """The places at which a long sentence is cut; they follow from the words around them alone."""
+    if len(words) <= LONGEST:
+        return []
+    hashes = [zlib.crc32(f"{a} {b}".encode("utf-8", "surrogatepass")) for a, b in zip(words, words[1:])]
+    found = []
+    for i, h in enumerate(hashes):
+        around = hashes[max(0, i - REACH) : i + REACH + 1]
+        if h == min(around) and around.count(h) == 1:
+            found.append(i + 1)
+    return found
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, pos, start, end, words, digest): row is a hash of the text, pos counts the units."""
-    schema = "doc_id long, row long, pos int, start int, end int, words int, digest binary"
+    """(doc_id, row, pos, at, start, end, words, digest): row is a hash of the text, pos counts the units, at the words before."""
+    schema = "doc_id long, row long, pos int, at int, start int, end int, words int, digest binary"
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4 << 20):
+            rows = []
+            for doc_id, row, text in zip(
+                batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), texts_of(batch.column("text"))
+            ):
+                at = 0
+                for pos, unit in enumerate(units_of(text)):
+                    rows.append((doc_id, row, pos, at, *unit))
+                    at += unit[2]
+            columns = list(zip(*rows)) or [()] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "row", "pos", "at", "start", "end", "words", "digest"]
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), "text").mapInArrow(emit, schema)
+
+
+def beside(text: str, place: int, left: bool) -> tuple[list[str], list[int]]:
+    """The words before or behind a place, nearest first, with the offsets of their far ends."""
+    if left:
+        low = max(0, place - MOST_CHARS)
+        found = [(m.group().lower(), low + m.start()) for m in _WORD.finditer(text, low, place)]
+        if low and found and not text[low - 1].isspace() and found[0][1] == low:
+            del found[0]  # a part of a word
+        found.reverse()
+    else:
+        high = min(len(text), place + MOST_CHARS)
+        found = [(m.group().lower(), m.end()) for m in _WORD.finditer(text, place, high)]
+        if high < len(text) and found and found[-1][1] == high and not text[high].isspace():
+            del found[-1]
+    found = found[:MOST_WORDS]
+    return [w for w, _ in found], [e for _, e in found]
+
+
+def neighbours(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc_id, row, place, left, near, ends) for the asked (doc_id, row, place, left), each once."""
+    schema = "doc_id long, row long, place int, left boolean, near array<string>, ends array<int>"
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
             rows = [
-                (doc_id, row, pos, *unit)
-                for doc_id, row, text in zip(
-                    batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), texts_of(batch.column("text"))
+                (doc_id, row, p["place"], p["left"], *beside(text, p["place"], p["left"]))
+                for doc_id, row, places, text in zip(
+                    *(batch.column(c).to_pylist() for c in ("doc_id", "row", "places")), texts_of(batch.column("text"))
                 )
-                for pos, unit in enumerate(units_of(text))
+                for p in places
             ]
-            columns = list(zip(*rows)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            columns = list(zip(*rows)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "row", "pos", "start", "end", "words", "digest"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "row", "place", "left", "near", "ends"]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row"), "text").mapInArrow(emit, schema)
+    places = asked.groupBy("doc_id", "row").agg(F.collect_set(F.struct("place", "left")).alias("places"))
+    places = places.withColumnsRenamed({"doc_id": "__id", "row": "__row"})
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    joined = texts.join(places, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row")))
+    return joined.select("doc_id", "row", "places", "text").mapInArrow(emit, schema).dropDuplicates(["doc_id", "row", "place", "left"])
+
+
+def extended(docs: DataFrame, runs: DataFrame, work: Workspace) -> DataFrame:
+    """``runs`` with start, end, low and high moved outwards as far as the words beside the kept occurrence agree."""
+    side = lambda left, place, doc, row, kept: F.struct(
+        F.lit(left).alias("left"), F.col(place).alias("place"), F.col(doc).alias("k_doc"), F.col(row).alias("k_row"), F.col(kept).alias("k_place")
+    )
+    sides = F.array(
+        side(True, "start", "first.doc_id", "first.row", "first.start"), side(False, "end", "last.doc_id", "last.row", "last.end")
+    )
+    edges = runs.filter(F.col("high") - F.col("low") >= ANCHOR).select("doc_id", "row", "run", F.inline(sides))
+    edges = work.write(edges, "edges")
+    asked = edges.select("doc_id", "row", "place", "left").unionByName(
+        edges.select(F.col("k_doc").alias("doc_id"), F.col("k_row").alias("row"), F.col("k_place").alias("place"), "left")
+    )
+    near = work.write(neighbours(docs, asked.distinct()), "near")
+    own = near.select(*[F.col(c).alias(f"o_{c}") for c in near.columns])
+    kept = near.select(*[F.col(c).alias(f"n_{c}") for c in ("doc_id", "row", "place", "left", "near")])
+    met = edges.join(
+        own, F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("row") == F.col("o_row")) & (F.col("place") == F.col("o_place"))
+        & (F.col("left") == F.col("o_left")),
+    ).join(
+        kept, F.col("k_doc").eqNullSafe(F.col("n_doc_id")) & (F.col("k_row") == F.col("n_row")) & (F.col("k_place") == F.col("n_place"))
+        & (F.col("left") == F.col("n_left")),
+    )
+    same = F.zip_with("o_near", "n_near", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    agreed = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0).cast("long")) - 1, F.size(same)).cast("int")
+    moved = (
+        met.withColumn("n", agreed).filter("n > 0").withColumn("to", F.get("o_ends", F.col("n") - 1))
+        .groupBy(F.col("doc_id").alias("m_doc"), F.col("row").alias("m_row"), F.col("run").alias("m_run"))
+        .agg(
+            F.max(F.when(F.col("left"), F.col("n"))).alias("m_low"), F.max(F.when(F.col("left"), F.col("to"))).alias("m_start"),
+            F.max(F.when(~F.col("left"), F.col("n"))).alias("m_high"), F.max(F.when(~F.col("left"), F.col("to"))).alias("m_end"),
+        )
+    )
+    joined = runs.join(
+        moved, F.col("doc_id").eqNullSafe(F.col("m_doc")) & (F.col("row") == F.col("m_row")) & (F.col("run") == F.col("m_run")), "left"
+    )
+    return joined.select(
+        "doc_id", "row", F.coalesce("m_start", "start").alias("start"), F.coalesce("m_end", "end").alias("end"),
+        (F.col("low") - F.coalesce("m_low", F.lit(0))).alias("low"), (F.col("high") + F.coalesce("m_high", F.lit(0))).alias("high"),
+        "n_units", F.col("first.doc_id").alias("kept"),
+    )
 
 
 def repeated_spans(docs: DataFrame, work: Workspace, min_words: int = 30) -> DataFrame:
     """(doc_id, row, start, end, n_units, n_words, kept_doc_id): one row per removed span.
 
     Offsets are code points of the original text, end exclusive.  ``kept_doc_id``
-    holds the first unit's earliest occurrence.  A unit that occurs twice within a
+    holds the first unit's earliest occurrence.  ``n_units`` counts whole repeated units;
+    the words of an extension count in ``n_words``.  A unit that occurs twice within a
     document counts as repeated as well.  Null and empty texts have no units.  Null
     ids rank before all others, and equal ids by a hash of their texts (``row``);
     rows that repeat in id and text are one document and come once.  An empty
@@ -74,24 +192,34 @@ def repeated_spans(docs: DataFrame, work: Workspace, min_words: int = 30) -> Dat
     split it in the join.
     """
     found = work.write(units(docs), "units")
-    place = F.struct("doc_id", "row", "pos")
+    place = F.struct("doc_id", "row", "pos", "start", "end")
     first = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     first = work.write(first, "first")  # as a table, so that the join's shuffles are its own and can be split
     later = (
         found.join(first, "digest").filter(~place.eqNullSafe(F.col("first")))
-        .select("doc_id", "row", "pos", "start", "end", "words", F.col("first.doc_id").alias("kept"))
-        .dropDuplicates(["doc_id", "row", "pos"])
+        .select("doc_id", "row", "pos", "at", "start", "end", "words", "first")
     )
     document = Window.partitionBy("doc_id", "row")
-    runs = later.withColumn("run", F.col("pos") - F.row_number().over(document.orderBy("pos")))
+    # Repeated rows have the same places: dense_rank, and no sums over a run's rows.
+    runs = later.withColumn("run", F.col("pos") - F.dense_rank().over(document.orderBy("pos")))
+    runs = runs.groupBy("doc_id", "row", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("pos") - F.min("pos") + 1).cast("long").alias("n_units"),
+        F.min("at").alias("low"), F.max(F.col("at") + F.col("words")).alias("high"),
+        F.min_by("first", "pos").alias("first"), F.max_by("first", "pos").alias("last"),
+    )
+    reached = extended(docs, work.write(runs, "runs"), work)
+    # Runs that meet or overlap are one: word places tell.
+    ahead = document.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    apart = reached.withColumn("new", F.coalesce(F.col("low") > F.max("high").over(ahead), F.lit(True)).cast("int"))
+    apart = apart.withColumn("island", F.sum("new").over(document.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, 0)))
     return (
-        runs.groupBy("doc_id", "row", "run")
+        apart.groupBy("doc_id", "row", "island")
         .agg(
-            F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_units"),
-            F.sum("words").cast("long").alias("n_words"), F.min_by("kept", "pos").alias("kept_doc_id"),
+            F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_units").alias("n_units"),
+            (F.max("high") - F.min("low")).cast("long").alias("n_words"), F.min_by("kept", "low").alias("kept_doc_id"),
         )
         .filter(F.col("n_words") >= min_words)
-        .drop("run")
+        .drop("island")
     )
 
 

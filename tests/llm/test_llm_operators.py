@@ -564,6 +564,21 @@ def test_substrings_match_brute_force(spark):
             assert t[a:b] == t[a:b].strip() != ""
 
 
+def test_substrings_glued_to_other_text(spark):
+    inner = "it goes on from there for a while. A middle sentence stands whole in both of them! And then the last one runs"
+    endless = " ".join(f"clause{k}" for k in range(60))
+    rows = [
+        (1, f"Some words lead into the passage {inner} into other words at its end."), (2, f"Elsewhere, quite another start: {inner} against a wall.\nMore."),
+        (3, f"one two three {endless} four five six"), (4, f"alpha beta {endless} gamma"), (5, "A middle sentence stands whole in both of them! But nothing else."),
+    ]
+    docs = docs_of(spark, rows)
+    spans = {r["doc_id"]: r for r in substring_dedup.repeated_spans(docs, space(spark), min_words=20).collect()}
+    texts = dict(rows)
+    cut = {i: texts[i][r["start"] : r["end"]] for i, r in spans.items()}
+    assert cut == {2: inner, 4: endless} and (spans[2]["n_words"], spans[2]["kept_doc_id"]) == (len(inner.split()), 1)
+    assert (spans[4]["n_words"], spans[4]["kept_doc_id"]) == (60, 3)
+
+
 # 9
 
 
