@@ -148,10 +148,48 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(r.component_id, s.doc_
 FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND list_sort(s.s) = c.s LEFT JOIN roots r ON r.a = c.cid
 """
 
+OP11 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS steps
+  FROM range(256) t(n)
+), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL
+), keyed AS (
+  SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes FROM runs
+), summed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    [('0x' || substr(bytes, (2 * i - 1)::INT, 2))::BIGINT for i in range(1, length(bytes) // 2 + 1)],
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS h FROM keyed, crc
+), counts AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM summed GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7
+), cut AS (
+  SELECT word, i, left(word, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM counts)
+), near AS (
+  SELECT c.word AS a, w.word AS b FROM cut c JOIN counts w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN counts w ON c.rest = w.word
+  UNION SELECT x.word, y.word FROM cut x JOIN cut y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+), told AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS form, max(n) AS form_n FROM near JOIN counts ON b = word GROUP BY a
+), formed AS (
+  SELECT c.word, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * c.n THEN form END AS form, CASE WHEN form_n >= 10 * c.n THEN form_n END AS form_n
+  FROM counts c LEFT JOIN told t ON c.word = t.word
+), followed AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT x.word, f.form FROM followed x JOIN formed f ON x.at = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, x.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN followed x ON f.word = x.word JOIN formed e ON x.at = e.word AND e.form IS NULL
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
     "op3_embedding_dedup": OP3,
     "op5_ngram_join": OP5,
     "op6_mix_sources": OP6,
     "op9_quality_rules": OP9,
+    "op11_spelling_variants": OP11,
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import embedding_dedup, licenses, line_dedup, mixing, ngram_join, packing, quality, secrets, substring_dedup, toxicity
+from actuaria.llm import (
+    best_fit, conversations, embedding_dedup, licenses, line_dedup, mixing, ngram_join, packing, quality, secrets, spelling, substring_dedup, toxicity,
+)
 from actuaria.llm.common import Workspace, table
 from actuaria.llm.oracle import ORACLES
 
@@ -63,6 +65,28 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), Workspace(spark, "op11"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return best_fit.pack_best_fit(docs, public_tokenizers.path("word_bpe_49k.json"), Workspace(spark, "op12"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op13")
+    original = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversations.damage(original)
+    repaired = work.write(conversations.repair(rows, work), "repaired")
+    hashed = conversations.digests(rows, repaired).withColumnRenamed("conv_id", "h_conv")
+    told = repaired.join(hashed, F.col("conv_id").eqNullSafe(F.col("h_conv"))).withColumnRenamed("conv_id", "r_conv")
+    every = original.select("conv_id").distinct().join(told, F.col("conv_id").eqNullSafe(F.col("r_conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return every.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}

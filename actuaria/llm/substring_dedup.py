@@ -95,7 +95,7 @@ def beside(text: str, place: int, left: bool) -> tuple[list[str], list[int]]:
     """The words before or behind a place, nearest first, with the offsets of their far ends."""
     if left:
         low = max(0, place - MOST_CHARS)
-        found = [(m.group().lower(), low + m.start()) for m in _WORD.finditer(text, low, place)]
+        found = [(m.group().lower(), m.start()) for m in _WORD.finditer(text, low, place)]  # places in the whole text
         if low and found and not text[low - 1].isspace() and found[0][1] == low:
             del found[0]  # a part of a word
         found.reverse()
