@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.constants import UNKNOWN_TERRITORY
-from actuaria.sources import silver
+from actuaria.sources import published, silver
 
 PREMIUM_COLUMNS = [
     "gender", "birthdate", "ypc", "current_premium", "indicated_premium", "selected_premium",
@@ -155,7 +155,8 @@ def build_gold(spark: SparkSession, root: str) -> int:
     """The daily gold build from loaded silver: tables → roles → contract → newest batches → fact.
 
     Lists the silver tables under ``root``, picks one per role, checks every table's
-    columns, joins the newest batch of each and rebuilds ``<root>/gold/fact_current``.
+    columns, joins the newest batch of each and publishes the result as the next version of ``<root>/gold/fact_current``: readers
+    (``read_gold``) see the last version or this one, and a build that fails leaves the last one.  An empty fact is a failure.
     """
     roles = silver.resolve_roles(silver.silver_tables(spark, root))
     frames = {}
@@ -164,4 +165,18 @@ def build_gold(spark: SparkSession, root: str) -> int:
         require_columns(df, role)
         frames[role] = silver.latest_batch(df)
     fact = fact_current(frames["premiums"], frames["territory"], frames["dp03"], frames["dp05"])
-    return write_fact(fact, f"{root}/gold/fact_current")
+    clustered = fact.repartitionByRange("ingested_at").sortWithinPartitions("ingested_at")
+    return published.publish(spark, clustered, f"{root}/gold/fact_current", check_fact)[1]
+
+
+def check_fact(written: DataFrame, rows: int) -> None:
+    """What a fact must be to be published: the columns of the contract, and rows."""
+    if written.columns != CURRENT_COLUMNS:
+        raise ValueError(f"fact has columns {written.columns}")
+    if not rows:
+        raise ValueError("fact is empty")
+
+
+def read_gold(spark: SparkSession, root: str) -> DataFrame:
+    """The fact that was published last."""
+    return published.read(spark, f"{root}/gold/fact_current")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -71,12 +72,50 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def move_into(spark: SparkSession, path: str, folder: str) -> None:
-    """Move a file into ``folder`` (made if need be), replacing an older one of its name."""
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with this text; False if there is one of the name already."""
     fs, p = _open(spark, path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(folder, p.getName())
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The first line of a small file; nothing if it is empty or gone."""
+    try:
+        return first_line(spark, path) or ""
+    except Py4JJavaError:
+        if exists(spark, path):
+            raise
+        return ""
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Take away a file, or a folder with what is in it."""
+    fs, p = _open(spark, path)
+    fs.delete(p, True)
+
+
+def move_into(spark: SparkSession, path: str, folder: str) -> str:
+    """Move a file into ``folder`` (made if need be); returns its new path.
+
+    Where its name is taken, the time is set before it, so that no older file is lost (S7).
+    """
+    fs, p = _open(spark, path)
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    target, tried = new(folder, p.getName()), 0
     fs.mkdirs(target.getParent())
-    if fs.exists(target):
-        fs.delete(target, False)
+    while fs.exists(target):
+        stamp = dt.datetime.now().strftime("%Y%m%d_%H%M%S") + (f"_{tried}" if tried else "")
+        target, tried = new(folder, f"{stamp}_{p.getName()}"), tried + 1
     if not fs.rename(p, target):
         raise OSError(f"{path} was not moved to {folder}")
+    return str(target.toString())

@@ -2,9 +2,8 @@
 
 * discovery (S1/S2/S10): one listing of the landing folder; ``_*``, ``.*`` and
   names that don't end in ``.csv`` are passed over, a missing folder is an error;
-* consume-once (S7): files that the ledger calls ``loaded`` (same name and
-  modification time) are skipped; with ``archive_dir`` they are moved there after
-  the ledger is written;
+* consume-once (S7): the batch job and the stream claim files in one ledger (see
+  ``ledger``); with ``archive_dir`` loaded files are moved there after the ledger is written;
 * parse (S3/S8): files are grouped by dataset and header line, and every group is
   read with its own header, so columns are bound by name.  Values of declared
   columns are cast by name.  Records with too many or too few fields and values
@@ -15,12 +14,12 @@
   own rows, a second file of the batch is kept beside the first;
 * isolation (S8): a group that fails is loaded file by file, and only the files that
   fail by themselves are reported as failed, with the whole reason;
-* summary (S5/S9): per file rows = bronze rows + bad rows, appended to the ledger
-  ``ops/ingest_log``.  Header-only files are ``empty``, zero-byte files ``failed``;
+* summary (S5/S9): per file rows = bronze rows + bad rows, appended to the ledger with the
+  schema of the file's bronze rows.  Header-only files are ``empty``, zero-byte files ``failed``;
   both stay unconsumed.
 
-A quoted field may hold line breaks.  Such files cannot be split over tasks; for
-datasets known to have none, name them in ``splittable``.
+A quoted field may hold line breaks.  All files are split over tasks: those without any quote by Spark's
+own reader, those with quotes by ``split_csv``.
 """
 
 from __future__ import annotations
@@ -28,29 +27,19 @@ from __future__ import annotations
 import csv
 import datetime as _dt
 import re
-from collections.abc import Collection, Mapping
+from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from actuaria.sources import files
+from actuaria.sources import files, ledger, split_csv
 from actuaria.sources.files import FileInfo
 
 CORRUPT = "_corrupt_record"
 FILE = "_file"
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("file", T.StringType()),
-    T.StructField("dataset", T.StringType()),
-    T.StructField("batch_id", T.StringType()),
-    T.StructField("rows", T.LongType()),
-    T.StructField("bad_rows", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("reason", T.StringType()),
-    T.StructField("modified", T.TimestampNTZType()),
-])
-
 
 def dataset_of(file_name: str) -> str:
     """Dataset family of a landing file: the stem, lower-case, ``.``/``-`` → ``_``,
@@ -65,23 +54,6 @@ def list_landing(spark: SparkSession, landing_dir: str) -> list[FileInfo]:
     return [f for f in files.list_files(spark, landing_dir) if f.name.endswith(".csv") and f.name[0] not in "_."]
 
 
-def _ledger(spark: SparkSession, log_dir: str) -> DataFrame:
-    if not files.exists(spark, log_dir):  # first run; any other trouble is raised
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(log_dir)
-
-
-def new_files(spark: SparkSession, landing_dir: str, log_dir: str) -> list[FileInfo]:
-    """Listed files that the ledger does not call ``loaded``, by name and modification time."""
-    listed = list_landing(spark, landing_dir)
-    if not listed:
-        return []
-    names = spark.createDataFrame([(f.name, f.modified) for f in listed], "file string, modified timestamp_ntz")
-    done = _ledger(spark, log_dir).where(F.col("status") == "loaded").select("file", "modified")
-    fresh = {r["file"] for r in names.join(done, ["file", "modified"], "left_anti").select("file").collect()}
-    return [f for f in listed if f.name in fresh]
-
-
 def header_of(spark: SparkSession, info: FileInfo) -> tuple[str, ...]:
     """The column names of a file's first line; none for a zero-byte file."""
     line = files.first_line(spark, info.path) if info.length else None
@@ -90,14 +62,23 @@ def header_of(spark: SparkSession, info: FileInfo) -> tuple[str, ...]:
     return tuple(next(csv.reader([line.removeprefix("﻿")])))
 
 
-def _read(spark: SparkSession, paths: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+def _read(spark: SparkSession, paths: list[str], header: tuple[str, ...]) -> DataFrame:
     """All columns as text under the given header, the corrupt record and the file's name."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line).option("escape", '"').csv(paths)
-        .select("*", F.col("_metadata.file_name").alias(FILE))
-    )
+    quoted = split_csv.with_quotes(spark, paths)
+    name = lambda path: path.rsplit("/", 1)[-1]
+    broken = {name(unquote(path)) for path in quoted}
+    plain = [path for path in paths if name(path) not in broken]
+    parts = []
+    if plain:
+        parts.append(
+            spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("escape", '"').csv(plain)
+            .select("*", F.col("_metadata.file_name").alias(FILE))
+        )
+    if quoted:
+        parts.append(split_csv.read_csv(spark, [path for path in paths if name(path) in broken], schema, CORRUPT))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _typed(raw: DataFrame, header: tuple[str, ...], declared: T.StructType | None) -> tuple[DataFrame, Column]:
@@ -121,13 +102,13 @@ def _typed(raw: DataFrame, header: tuple[str, ...], declared: T.StructType | Non
 
 def _load(
     spark: SparkSession, group: list[FileInfo], dataset: str, header: tuple[str, ...], root: str, batch_id: str,
-    stamp: Column, declared: T.StructType | None, multi_line: bool,
-) -> dict[str, tuple[int, int]]:
-    """Write one group's bronze and quarantine partitions; (rows, bad rows) per file.
+    stamp: Column, declared: T.StructType | None,
+) -> tuple[dict[str, tuple[int, int]], str]:
+    """Write one group's bronze and quarantine partitions; (rows, bad rows) per file, and the schema of the rows.
 
     The CSV is parsed once, into a staging table that both writes and the tallies read.
     """
-    typed, bad = _typed(_read(spark, [f.path for f in group], header, multi_line), header, declared)
+    typed, bad = _typed(_read(spark, [f.path for f in group], header), header, declared)
     staging = f"{root}/_staging/{dataset}/batch_id={batch_id}"
     typed.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(typed.schema).parquet(staging)
@@ -138,22 +119,27 @@ def _load(
             "batch_id", "source_file"
         ).parquet(f"{root}/{folder}/{dataset}")
 
-    put(staged.where(~bad).drop("_bad", "_record").withColumn("ingested_at", stamp).select("*", *lineage).drop(FILE), "bronze")
+    good = staged.where(~bad).drop("_bad", "_record").withColumn("ingested_at", stamp)
+    put(good.select("*", *lineage).drop(FILE), "bronze")
     if staged.where(bad).head(1):
         put(staged.where(bad).select(F.col("_record").alias("record"), *lineage), "quarantine")
     counted = staged.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
-    return {r[FILE]: (int(r["rows"]), int(r["bad"])) for r in counted.collect()}
+    return {r[FILE]: (int(r["rows"]), int(r["bad"])) for r in counted.collect()}, good.drop(FILE).schema.json()
 
 
 def load_files(
     spark: SparkSession, found: list[FileInfo], root: str, batch_id: str, ingested_at: _dt.datetime,
-    schemas: Mapping[str, T.StructType] | None = None, splittable: Collection[str] = (),
+    schemas: Mapping[str, T.StructType] | None = None,
 ) -> list[tuple]:
-    """Load these files into bronze; one LOG_SCHEMA row for each of them."""
+    """Load these files into bronze; one row (file .. length, schema) of the ledger for each of them."""
     schemas = dict(schemas or {})
     stamp = F.lit(ingested_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     groups: dict[tuple[str, tuple[str, ...]], list[FileInfo]] = {}
-    summary: list[tuple] = []
+    told: list[tuple] = []
+
+    def tell(f: FileInfo, rows: int, bad: int, status: str, reason: str | None, schema: str | None = None) -> None:
+        told.append((f.name, dataset_of(f.name), batch_id, rows, bad, status, reason, f.modified, f.length, schema))
+
     for f in found:
         try:
             header = header_of(spark, f)
@@ -161,15 +147,23 @@ def load_files(
                 raise ValueError("no columns: the file has no header line")
             groups.setdefault((dataset_of(f.name), header), []).append(f)
         except Exception as exc:  # per-file isolation (S8)
-            summary.append((f.name, dataset_of(f.name), batch_id, 0, 0, "failed", str(exc), f.modified))
+            tell(f, 0, 0, "failed", str(exc))
     for (dataset, header), group in sorted(groups.items()):
 
         def load(some: list[FileInfo]) -> None:
-            counts = _load(spark, some, dataset, header, root, batch_id, stamp, schemas.get(dataset), dataset not in splittable)
+            for last in (False, False, True):
+                try:
+                    counts, schema = _load(spark, some, dataset, header, root, batch_id, stamp, schemas.get(dataset))
+                    break
+                except Exception as exc:  # executors came or went between two passes: pass again
+                    if last or split_csv.SplitsMoved.__name__ not in str(exc):
+                        raise
             for f in some:
                 rows, bad = counts.get(f.name, (0, 0))
-                status, reason = ("loaded", None) if rows else ("empty", "file contains no data rows")
-                summary.append((f.name, dataset, batch_id, rows, bad, status, reason, f.modified))
+                if rows:
+                    tell(f, rows, bad, "loaded", None, schema)
+                else:
+                    tell(f, rows, bad, "empty", "file contains no data rows")
 
         try:
             load(group)
@@ -178,8 +172,25 @@ def load_files(
                 try:
                     load([f])
                 except Exception as exc:
-                    summary.append((f.name, dataset, batch_id, 0, 0, "failed", str(exc), f.modified))
-    return summary
+                    tell(f, 0, 0, "failed", str(exc))
+    return told
+
+
+def consume(
+    spark: SparkSession, found: list[FileInfo], root: str, batch_id: str, ingested_at: _dt.datetime, loader: str,
+    schemas: Mapping[str, T.StructType] | None = None, lease: int = ledger.LEASE,
+) -> DataFrame:
+    """Load those of the files that nobody has loaded or is loading; their entries in the ledger."""
+    claimed = ledger.claim(spark, root, ledger.fresh(spark, root, found), batch_id, ingested_at, loader, lease)
+    left = {f.path for f in ledger.fresh(spark, root, [f for f, _, _ in claimed])}  # loaded by another one meanwhile
+    groups: dict[tuple[str, _dt.datetime], list[FileInfo]] = {}
+    for f, batch, stamp in claimed:
+        if f.path in left:
+            groups.setdefault((batch, stamp), []).append(f)
+    rows = [r for (batch, stamp), group in sorted(groups.items()) for r in load_files(spark, group, root, batch, stamp, schemas)]
+    out = ledger.record(spark, root, rows, loader)
+    ledger.release(spark, root, [f for f, _, _ in claimed])
+    return out
 
 
 def ingest(
@@ -189,14 +200,11 @@ def ingest(
     batch_id: str,
     ingested_at: _dt.datetime,
     schemas: Mapping[str, T.StructType] | None = None,
-    splittable: Collection[str] = (),
     archive_dir: str | None = None,
 ) -> DataFrame:
     """Load every new landing CSV into bronze; return this run's summary rows."""
-    log_dir = f"{root}/ops/ingest_log"
-    found = new_files(spark, landing_dir, log_dir)
-    out = spark.createDataFrame(load_files(spark, found, root, batch_id, ingested_at, schemas, splittable), LOG_SCHEMA)
-    out.write.mode("append").parquet(log_dir)
+    found = list_landing(spark, landing_dir)
+    out = consume(spark, found, root, batch_id, ingested_at, f"batch {batch_id}", schemas)
     if archive_dir:
         loaded = {r["file"] for r in out.where("status = 'loaded'").select("file").collect()}
         for f in found:

@@ -185,7 +185,7 @@ def test_csv_to_gold_to_a_query(spark, scratch):
     assert silver.load_silver(spark, root, "premiums", T0, ["20250102"]) == 3
     assert silver.has_table(spark, root, "stg_premiums") and not silver.has_table(spark, root, "stg_other")
     assert gold.build_gold(spark, root) == 3
-    fact = spark.read.parquet(f"{root}/gold/fact_current")
+    fact = gold.read_gold(spark, root)
     assert sorted((r["town"], str(r["current_premium"]), r["acs03_median_age"]) for r in fact.collect()) == [
         ("BARTON", "50.0000", None), ("CRESAPTOWN", "0.2000", 38.5), ("CRESAPTOWN", "100.1000", 38.5)
     ]

@@ -147,9 +147,11 @@ def test_median_has_no_group_state(spark):
 
 def test_lake_sees_changed_sources(spark, scratch):
     src = f"{scratch}/sf"
-    shutil.copytree(SF, src)
+    os.makedirs(src)
+    for name in os.listdir(SF):
+        if name != "lineitem.parquet":
+            shutil.copyfile(f"{SF}/{name}", f"{src}/{name}")
     lines = spark.read.parquet(f"{SF}/lineitem.parquet")
-    os.rename(f"{src}/lineitem.parquet", f"{src}/lineitem.old")
     lines.limit(1000).write.parquet(f"{src}/lineitem.parquet/part=1")
     assert lake(spark, src).rows["premiums"] == 1000 and lake(spark, src) is lake(spark, src)
     lines.limit(500).write.mode("append").parquet(f"{src}/lineitem.parquet/part=1")
