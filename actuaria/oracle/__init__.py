@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from actuaria.oracle.prelude import with_prelude
+from actuaria.oracle.ingest_sql import PLAIN as _PLAIN
+from actuaria.oracle.ingest_sql import SQL as _INGEST
 from actuaria.oracle.monitoring_sql import SQL as _MON
 from actuaria.oracle.quality_sql import SQL as _DQ
 from actuaria.oracle.reporting_sql import SQL as _RPT
@@ -24,8 +26,8 @@ GROUP BY batch_id
 
 
 def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for part in (_RPT, _DQ, _MON, _STK, _TABLES):
+    out: dict[str, str] = dict(_PLAIN)
+    for part in (_RPT, _DQ, _MON, _STK, _TABLES, _INGEST):
         for key, text in part.items():
             out[key] = with_prelude(text)
     return out

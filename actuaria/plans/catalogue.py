@@ -1,7 +1,8 @@
 """Named query catalogue: key → callable(spark, sf_dir) → DataFrame.
 
 Every query reads the gold/silver tables the lake wrote from the source
-folder (built once per application), never a fixed or made-up input.
+folder (built once per application), never a fixed or made-up input; those of
+``ingest`` send these tables through the ingest jobs first.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.plans import monitoring, quality, reporting, stakeholder
+from actuaria.plans import ingest, monitoring, quality, reporting, stakeholder
 from actuaria.plans.store import lake
 from actuaria.sources import silver
 
@@ -76,4 +77,5 @@ def catalogue(as_of: _dt.datetime | None = None) -> dict[str, QueryFn]:
     out["fact_legacy"] = fact_legacy
     out["latest_batch"] = latest_batch
     out["schema_union"] = schema_union
+    out |= ingest.QUERIES
     return out

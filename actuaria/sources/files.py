@@ -104,6 +104,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file to a path that is free, its folder made if need be."""
+    fs, p = _open(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"{path} was not moved to {target}")
+
+
 def move_into(spark: SparkSession, path: str, folder: str) -> str:
     """Move a file into ``folder`` (made if need be); returns its new path.
 

@@ -11,7 +11,7 @@ import duckdb
 import pytest
 
 SF = os.environ.get("ACTUARIA_TEST_SF", "/root/testdata/sf0.001")
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = "region nation customer supplier part orders lineitem documents".split()
 
 
 @pytest.fixture(scope="module")
