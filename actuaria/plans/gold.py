@@ -15,7 +15,7 @@ above.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from actuaria.constants import UNKNOWN_TERRITORY
@@ -137,15 +137,38 @@ def fact_legacy(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05
     ).select(*LEGACY_COLUMNS)
 
 
-def write_fact(df: DataFrame, path: str) -> int:
+def by_time(df: DataFrame, times: DataFrame, rows_per_file: int = 50_000) -> DataFrame:
+    """``df`` dealt by ``ingested_at`` so that files are narrow in time, and sorted in each; nulls come first.
+
+    ``times`` has the column ``ingested_at`` alone, of the same rows or about the same: a count per day tells which
+    partitions a day fills, so ``df`` itself is not run for a sample.  A day that fills several is spread over them by a hash.  The days
+    are one row each, so their running total is a small window and they are broadcast.
+    """
+    spark = df.sparkSession
+    days = times.groupBy(F.to_date("ingested_at").alias("__day")).agg(F.count(F.lit(1)).alias("n"))
+    total = max(1, int(days.agg(F.sum("n")).first()[0] or 0))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
+        n = min(n, -(-total // rows_per_file))
+    before = Window.orderBy(F.col("__day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    place = days.select("__day", (F.coalesce(F.sum("n").over(before), F.lit(0)) * n / total).alias("__begin"), (F.col("n") * n / total).alias("__share"))
+    columns = df.columns
+    spread = F.pmod(F.xxhash64(*columns), F.lit(1 << 20)) / (1 << 20)
+    placed = df.join(F.broadcast(place), F.to_date("ingested_at").eqNullSafe(F.col("__day")), "left")
+    number = F.floor(F.col("__begin") + F.when(F.col("__share") > 1, F.col("__share") * spread).otherwise(0))
+    number = F.coalesce(F.least(number, F.lit(n - 1)), F.lit(0)).cast("int")
+    return placed.repartitionById(n, number).select(*columns).sortWithinPartitions("ingested_at")
+
+
+def write_fact(df: DataFrame, path: str, times: DataFrame | None = None) -> int:
     """Rebuild a fact table; returns its rows (S25, S26), observed while writing.
 
     Rows are clustered by load time, so a time window's filter skips files and row
     groups by their minima and maxima.
     """
-    obs = Observation("fact")
+    obs = Observation()
     (
-        df.repartitionByRange("ingested_at").sortWithinPartitions("ingested_at").observe(obs, F.count(F.lit(1)).alias("rows"))
+        by_time(df, (df if times is None else times).select("ingested_at")).observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     )
     return int(obs.get["rows"])
@@ -165,7 +188,7 @@ def build_gold(spark: SparkSession, root: str) -> int:
         require_columns(df, role)
         frames[role] = silver.latest_batch(df)
     fact = fact_current(frames["premiums"], frames["territory"], frames["dp03"], frames["dp05"])
-    clustered = fact.repartitionByRange("ingested_at").sortWithinPartitions("ingested_at")
+    clustered = by_time(fact, frames["premiums"].select("ingested_at"))
     return published.publish(spark, clustered, f"{root}/gold/fact_current", check_fact)[1]
 
 

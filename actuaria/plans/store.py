@@ -18,7 +18,10 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -55,27 +58,36 @@ class Lake:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.path(*parts))
         return int(obs.get["rows"])
 
-    def build(self) -> "Lake":
-        spark, src = self.spark, self.sf_dir
-        for name, df in (
-            ("territory", binding.territory(spark, src)),
-            ("dp03", binding.census_dp03(spark, src)),
-            ("dp05", binding.census_dp05(spark, src)),
-        ):
-            self.rows[name] = self._write(df.coalesce(1), "silver", name)
+    def _write_premiums(self) -> int:
         # Silver is partitioned by batch (the newest batch is one folder) and
         # clustered by load time inside, so a big batch still spreads over tasks.
+        spark, src = self.spark, self.sf_dir
         obs = Observation("rows_premiums")
+        times = binding.table(spark, src, "lineitem").select(F.col("l_shipdate").alias("ingested_at"))
         (
-            binding.premiums(spark, src).repartitionByRange("batch_id", "ingested_at").observe(obs, F.count(F.lit(1)).alias("rows"))
+            gold.by_time(binding.premiums(spark, src), times).observe(obs, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(self.path("silver", "premiums"))
         )
-        self.rows["premiums"] = int(obs.get["rows"])
+        return int(obs.get["rows"])
+
+    def _together(self, **jobs: Callable[[], int]) -> None:
+        """Run independent writes at the same time; their row counts go to ``rows``."""
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            found = {name: pool.submit(job) for name, job in jobs.items()}
+            self.rows.update({name: f.result() for name, f in found.items()})
+
+    def build(self) -> "Lake":
+        spark, src = self.spark, self.sf_dir
+        small = {"territory": binding.territory, "dp03": binding.census_dp03, "dp05": binding.census_dp05}
+        writes = {name: partial(self._write, read(spark, src).coalesce(1), "silver", name) for name, read in small.items()}
+        self._together(premiums=self._write_premiums, **writes)
         silver = self.silver()
         dims = self.dim("territory"), self.dim("dp03"), self.dim("dp05")
         # Gold is a full rebuild that never reads what it replaces.
-        self.rows["fact_current"] = gold.write_fact(gold.fact_current(silver, *dims), self.path("gold", "fact_current"))
-        self.rows["fact_legacy"] = gold.write_fact(gold.fact_legacy(silver, *dims), self.path("gold", "fact_legacy"))
+        self._together(
+            fact_current=lambda: gold.write_fact(gold.fact_current(silver, *dims), self.path("gold", "fact_current"), silver),
+            fact_legacy=lambda: gold.write_fact(gold.fact_legacy(silver, *dims), self.path("gold", "fact_legacy"), silver),
+        )
         self.built = True
         return self
 
