@@ -31,11 +31,11 @@ FROM placed
 """
 
 _RULES = {
-    "symbols": ("n_symbols::DOUBLE / word_chars", 0.004),
-    "lines": ("n_dup_lines::DOUBLE / n_lines", 0.1),
-    "repeats": ("n_repeat_words::DOUBLE / n_words", 0.08),
-    "capitals": ("n_capitals::DOUBLE / word_chars", 0.05),
-    "marks": ("n_marks::DOUBLE / word_chars", 0.02),
+    "symbols": ("n_symbols::DOUBLE / word_chars", 0.0015),
+    "lines": ("n_dup_lines::DOUBLE / n_lines", 0.025),
+    "repeats": ("n_repeat_words::DOUBLE / n_words", 0.01),
+    "capitals": ("n_capitals::DOUBLE / word_chars", 0.002),
+    "marks": ("n_marks::DOUBLE / word_chars", 0.0075),
 }
 _VALUES = " UNION ALL ".join(
     f"SELECT lang, source, '{r}' AS rule, {v} AS value, {least}::DOUBLE AS least FROM judged WHERE NOT base_failed"
@@ -77,11 +77,11 @@ WITH docs AS (
   SELECT lang, source, rule, least, upper, unnest({_GROUPS}, recursive := true) FROM bins
 ), sketch AS (
   SELECT g, l, s, rule, least, count(*) AS held,
-    quantile_disc(upper, 0.5) AS q50, quantile_disc(upper, 0.75) AS q75 FROM grouped GROUP BY ALL
+    quantile_disc(upper, 0.5) AS q50, quantile_disc(upper, 0.875) AS q875 FROM grouped GROUP BY ALL
 ), limits AS (
   SELECT o.l AS lang, o.s AS source, o.rule,
-    CASE WHEN o.held >= 100 THEN o.q50 WHEN b.held >= 100 THEN b.q50 ELSE a.q50 END + 6.0::DOUBLE * greatest(
-    CASE WHEN o.held >= 100 THEN o.q75 - o.q50 WHEN b.held >= 100 THEN b.q75 - b.q50 ELSE a.q75 - a.q50 END, o.least) AS threshold
+    CASE WHEN o.held >= 100 THEN o.q50 WHEN b.held >= 100 THEN b.q50 ELSE a.q50 END + 16.0::DOUBLE * greatest(
+    CASE WHEN o.held >= 100 THEN o.q875 - o.q50 WHEN b.held >= 100 THEN b.q875 - b.q50 ELSE a.q875 - a.q50 END, o.least) AS threshold
   FROM sketch o JOIN sketch b ON b.g = 1 AND o.rule = b.rule AND o.l IS NOT DISTINCT FROM b.l
     JOIN sketch a ON a.g = 0 AND o.rule = a.rule WHERE o.g = 2
 ), verdict AS (

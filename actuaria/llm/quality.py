@@ -22,23 +22,24 @@ from actuaria.llm.common import SPACE_CHARS, Workspace, words_of
 class Rule:
     """A measure that is too high beyond median + reach * max(spread, least).
 
-    The spread is the distance from the median to the upper quartile; ``least``
-    is the smallest spread that is told apart from noise.
+    The spread is the distance from the median to the quantile of 7/8, which up to an eighth of junk does not
+    move; ``least`` holds where hardly any document of a group has the measure at all, so that
+    the first ones that do are not junk for that.
     """
 
     name: str
     value: str
     least: float
-    reach: float = 6.0
+    reach: float = 16.0
 
 
 #: The measures are shares, of the words, word characters or lines of a text.
 RULES = (
-    Rule("symbols", "n_symbols / word_chars", 0.004),
-    Rule("lines", "n_dup_lines / n_lines", 0.1),
-    Rule("repeats", "n_repeat_words / n_words", 0.08),
-    Rule("capitals", "n_capitals / word_chars", 0.05),
-    Rule("marks", "n_marks / word_chars", 0.02),
+    Rule("symbols", "n_symbols / word_chars", 0.0015),
+    Rule("lines", "n_dup_lines / n_lines", 0.025),
+    Rule("repeats", "n_repeat_words / n_words", 0.01),
+    Rule("capitals", "n_capitals / word_chars", 0.002),
+    Rule("marks", "n_marks / word_chars", 0.0075),
 )
 
 
@@ -135,7 +136,7 @@ def thresholds(sketch: DataFrame, rules: tuple[Rule, ...], least_docs: int) -> D
     The first of (lang, source), (lang), () whose sketch holds ``least_docs`` values
     gives the threshold; the corpus does whatever it holds.
     """
-    points = {"q50": 0.5, "q75": 0.75}
+    points = {"q50": 0.5, "q875": 0.875}
     merged = lambda keys: sketch.groupBy(*keys, "rule", "bin").agg(F.sum("n").alias("n"))
     own = quantiles(sketch, ["lang", "source"], points)
     by_lang = quantiles(merged(["lang"]), ["lang"], points).select(
@@ -147,7 +148,7 @@ def thresholds(sketch: DataFrame, rules: tuple[Rule, ...], least_docs: int) -> D
     )
     pick = lambda c: F.when(F.col("held") >= least_docs, F.col(c)).when(F.col("l_held") >= least_docs, F.col(f"l_{c}")).otherwise(F.col(f"all_{c}"))  # noqa: E731, E501
     of = lambda attr: F.element_at(F.create_map(*[F.lit(x) for r in rules for x in (r.name, getattr(r, attr))]), F.col("rule"))  # noqa: E731, E501
-    spread = F.greatest(pick("q75") - pick("q50"), of("least"))
+    spread = F.greatest(pick("q875") - pick("q50"), of("least"))
     return joined.select("lang", "source", "rule", (pick("q50") + of("reach") * spread).alias("threshold"))
 
 

@@ -608,6 +608,37 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.judge(docs_of(spark, rows).limit(0), space(spark)).count() == 0
 
 
+def test_quality_thresholds_follow_the_group_and_every_rule_fires(spark):
+    rng = np.random.default_rng(7)
+
+    def text(n, capitals, extra=()):
+        words = [f"w{k}x" for k in rng.integers(0, 10**6, size=n)]
+        for k in rng.integers(0, n, size=capitals):
+            words[k] = words[k].upper()
+        return " ".join([*words, *extra])
+
+    rows = []
+    for k in range(400):  # a source that writes capitals now and then, and one that often does
+        rows.append((k, text(100, int(rng.integers(0, 5))), "en", "quiet"))
+        rows.append((1000 + k, text(100, int(rng.integers(0, 60))), "en", "loud"))
+    line = text(12, 0)
+    junk = {
+        "symbols": text(80, 0, ["#*$"] * 20 + ["%&"] * 10), "marks": text(80, 0, ["!?!?"] * 30), "capitals": text(100, 0).upper(),
+        "lines": "\n".join([text(60, 0)] + [f"ab{k} " + "a" for k in range(3)] + ["x"] * 8), "repeats": text(100, 0, [*line.split(), *line.split(), *line.split()]),
+    }
+    rows += [(5000 + k, t, "en", source) for k, t in enumerate(junk.values()) for source in ("quiet",)]
+    importable(spark)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    values = quality.measures(docs)
+    valued = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.expr(f"double({r.value})").alias("value")) for r in quality.RULES])
+    sketch = quality.sketches(values.select("lang", "source", F.inline(valued)), ["lang", "source"])
+    limits = {(r["source"], r["rule"]): r["threshold"] for r in quality.thresholds(sketch, quality.RULES, 100).collect()}
+    assert limits["loud", "capitals"] > 3 * limits["quiet", "capitals"]
+    got = {r["doc_id"]: r for r in quality.judge(docs, space(spark)).collect()}
+    assert all(got[5000 + k]["n_broken"] >= 1 for k in range(len(junk))), [(n, got[5000 + k]) for k, n in enumerate(junk)]
+    assert sum(r["kept"] for i, r in got.items() if i < 5000) > 0.99 * 800
+
+
 # 10
 
 
