@@ -44,33 +44,41 @@ def byte_alphabet() -> dict[str, int]:
 def vocabulary(path: str):
     """(encode, sentence ends): text → ids, and for each id whether a sentence ends behind it.
 
-    The ids are those of ``tokenizers`` for this file.  A byte-level vocabulary whose
-    merges come in the order of their ids is encoded by tiktoken's faster search of
-    the same ranks; any other by ``tokenizers`` itself.
+    The ids are those of ``tokenizers`` for this file with add_special_tokens=False, so a special token's string
+    in a text is that token.  A byte-level vocabulary whose merges come in the order of their ids is encoded by tiktoken's
+    faster search of the same ranks, and the library's own tokenizer is only made for a text with such a string; any other
+    vocabulary is encoded by ``tokenizers`` itself.
     """
-    from tokenizers import Tokenizer
-
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
-    table = own.get_vocab(with_added_tokens=False)
-    ends = np.zeros(own.get_vocab_size() + 2, dtype=bool)
+    vocab, added = model["model"]["vocab"], model.get("added_tokens") or []
+    table = vocab if isinstance(vocab, dict) else {token: number for number, (token, *_) in enumerate(vocab)}
+    special = {t["content"] for t in added}
+    ends = np.zeros(max([*table.values(), *(t["id"] for t in added), END_ID]) + 1, dtype=bool)
     alphabet = byte_alphabet()
-    special = {t["content"] for t in model.get("added_tokens") or []}
     ranks = {}
     for token, number in table.items():
         if token not in special:
             raw = bytes(alphabet.get(c, 63) for c in token)
             ranks[raw] = number
             ends[number] = raw.rstrip(b"\"')")[-1:] in (b".", b"!", b"?", b"\n")
-    if ranked_merges(model, table, special):
-        import tiktoken
-        from public_tokenizers import PATTERN
 
-        fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return fast.encode_ordinary, ends
-    return (lambda text: own.encode(text, add_special_tokens=False).ids), ends
+    @lru_cache(maxsize=1)
+    def own():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
+
+    def whole(text: str) -> list[int]:
+        return own().encode(text, add_special_tokens=False).ids
+
+    if not ranked_merges(model, table, special):
+        return whole, ends
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return (lambda text: whole(text) if any(s in text for s in special) else fast.encode_ordinary(text)), ends
 
 
 def ranked_merges(model: dict, table: dict[str, int], special: set[str]) -> bool:

@@ -288,7 +288,6 @@ def test_packing_round_trip(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     own = Tokenizer.from_file(path)
     rows = [*EDGE, (20, "A sentence here. Another one! " * 900), (21, "it's 12 o'clock\n\n\tnow <|endoftext|>"), *((30 + k, f"doc {k}. " * k) for k in range(60))]
-    own.encode_special_tokens = True
     ids = [(i, own.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in rows]
     pieces = [r.asDict() for r in packing.pack_documents(docs_of(spark, rows), path).collect()]
     wanted = Counter()

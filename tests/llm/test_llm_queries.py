@@ -69,3 +69,17 @@ def test_pipeline_of_an_empty_table(spark):
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         docs = work.write(stage(spark, docs, SF), f"e{k}")
     assert docs.count() == 0
+
+
+def test_near_duplicates_of_rows_without_ids_of_their_own(spark):
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, "quite another text"), (5, None), (5, ""), (5, None), (None, None), (7, "a b c"), (7, "x y z")]
+    docs = spark.createDataFrame([(i, t, 1, "clash") for i, t in rows], "doc_id long, text string, __row int, size string")
+    kept = corpus_pipeline.dedup_near(spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sum(t == text for _, t in found) == 1
+    rest = sorted(((i, t) for i, t in found if t != text), key=str)
+    assert rest == sorted([(None, "quite another text"), (5, None), (5, ""), (None, None), (7, "a b c"), (7, "x y z")], key=str)
+    unique = spark.createDataFrame([(1, text), (2, text), (3, None)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.dedup_near(spark, unique, SF).collect()) == [1, 3]
