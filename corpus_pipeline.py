@@ -33,15 +33,25 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, Jaccard 0.8 or more."""
+    """One document of each group of near duplicates: five-word shingles, Jaccard 0.8 or more.
+
+    Of rows that are equal in id and text one stays.  Where ids are null or repeated, rows are told apart by numbers of
+    their own, so an id with two texts is two documents and a null id keeps nothing but its own row.
+    """
     work = Workspace(spark, "near")
+    unclear = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        return docs.join(sized(gone_ids(docs, work)), F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    numbered = docs.dropDuplicates(["doc_id", "text"]).withColumn("__near_number", F.monotonically_increasing_id())
+    numbered = work.write(numbered, "numbered")
+    gone = gone_ids(numbered.select(F.col("__near_number").alias("doc_id"), "text"), work)
+    return numbered.join(sized(gone), F.col("__near_number") == F.col("__gone"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def gone_ids(docs: DataFrame, work: Workspace) -> DataFrame:
+    """(__gone): the ids that are not the least of their group."""
     groups = ngram_join.jaccard_components(docs, work, size=5, percent=80)
-    gone = work.write(
-        groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept")).filter("not kept")
-        .select(F.col("doc_id").alias("__gone")),
-        "gone",
-    )
-    return docs.join(sized(gone), F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    return work.write(groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone")), "gone")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
