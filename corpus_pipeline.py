@@ -15,14 +15,25 @@ from actuaria.llm import line_dedup, mixing, ngram_join, packing, toxicity
 from actuaria.llm.common import Workspace, importable, sized, table
 
 
+def small_batches(spark: SparkSession, documents: int = 2000) -> None:
+    """Let Arrow batches hold fewer documents than Spark's 10,000, where the session says nothing of its own.
+
+    A batch is held several times on its way between an executor and its Python worker.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(documents))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from ``labels``, does not reject."""
+    small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), Workspace(spark, "toxicity"))
     return toxicity.drop_toxic(docs, model)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the long lines that at least five of them share, but in one each."""
+    small_batches(spark)
     done = line_dedup.dedup_lines(docs, Workspace(spark, "lines"))
     changed = {"text": F.when(F.col("__n_dropped") > 0, F.col("__kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
@@ -38,6 +49,7 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows that are equal in id and text one stays.  Where ids are null or repeated, rows are told apart by numbers of
     their own, so an id with two texts is two documents and a null id keeps nothing but its own row.
     """
+    small_batches(spark)
     work = Workspace(spark, "near")
     unclear = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
     if unclear.isEmpty():
@@ -62,6 +74,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
     importable(spark)
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
