@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +45,15 @@ def local_session(cpus: int | str = "*", app: str = "actuaria", extra: dict | No
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever folder they run in."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set one only for local sessions."""
     sc = spark.sparkContext

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actuaria.session import importable
+
 #: A line that begins outside of quotes and ends inside: whole fields, then an open one.
 _OPENS = re.compile(r'(?:"(?:[^"]|"")*+"[^,]*+,|[^",][^,]*+,|,)*+"(?:[^"]|"")*+')
 #: The rest of a quoted field and what follows it up to the next field.
@@ -48,6 +50,7 @@ class SplitsMoved(RuntimeError):
 
 def lines_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, block, value): lines, the place where their split begins, and the file's path."""
+    importable(spark)
     read = spark.read.option("lineSep", "\n").text(paths)
     return read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
