@@ -526,6 +526,47 @@ def test_rare_terms_of_many_labels_and_variants_of_short_ones(spark):
 # 8
 
 
+def spans_by_brute_force(rows, min_words):
+    """(doc_id, start, end, n_units, n_words): runs of repeated units, walked on word by word beside their kept occurrences."""
+    words = {r: [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"\S+", r[1] or "")] for r in set(rows)}
+    rank = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
+    units, first = {}, {}
+    for r in sorted(words, key=rank):
+        at, units[r] = 0, []
+        for _, _, n, *_ in substring_dedup.units_of(r[1] or ""):
+            unit = (at, at + n, " ".join(w for w, _, _ in words[r][at : at + n]))
+            units[r].append(unit)
+            first.setdefault(unit[2], (r, at, at + n))
+            at += n
+        assert at == len(words[r])
+    found = []
+    for r, own in words.items():
+        runs = []
+        for k, (a, b, text) in enumerate(units[r]):
+            if first[text] != (r, a, b):
+                if runs and runs[-1][-1][0] == k - 1:
+                    runs[-1].append((k, a, b, first[text]))
+                else:
+                    runs.append([(k, a, b, first[text])])
+        reached = []
+        for run in runs:
+            (_, low, _, (r1, p1, _)), (_, _, high, (r2, _, p2)) = run[0], run[-1]
+            if high - low >= substring_dedup.ANCHOR:
+                while low > 0 and p1 > 0 and own[low - 1][0] == words[r1][p1 - 1][0]:
+                    low, p1 = low - 1, p1 - 1
+                while high < len(own) and p2 < len(words[r2]) and own[high][0] == words[r2][p2][0]:
+                    high, p2 = high + 1, p2 + 1
+            reached.append((low, high, len(run)))
+        islands = []
+        for low, high, n in sorted(reached):
+            if islands and low <= islands[-1][1]:
+                islands[-1] = (islands[-1][0], max(high, islands[-1][1]), islands[-1][2] + n)
+            else:
+                islands.append((low, high, n))
+        found += [(r[0], own[a][1], own[b - 1][2], n, b - a) for a, b, n in islands if b - a >= min_words]
+    return sorted(found, key=lambda r: tuple((x is not None, x) for x in r))
+
+
 def test_substrings_match_brute_force(spark):
     passage = "The first sentence of a passage is here and goes on for long. Its second one follows, of as many words as the first had! A third."
     rows = [
@@ -534,35 +575,36 @@ def test_substrings_match_brute_force(spark):
     ]
     docs = docs_of(spark, rows)
     spans = substring_dedup.repeated_spans(docs, space(spark), min_words=10)
-    units, order = defaultdict(list), {}
-    for i, t in set(rows):
-        for pos, (a, b, n, digest) in enumerate(substring_dedup.units_of(t or "")):
-            units[digest].append(((i is not None, i), t, pos, a, b, n))
-    first = {d: min(v, key=lambda u: (u[0], u[2])) for d, v in units.items()}
-    later = defaultdict(set)
-    for d, v in units.items():
-        for u in v:
-            if len(v) > 1 and (u[0], u[2]) != (first[d][0], first[d][2]):
-                later[u[0][1], u[1]].add((u[2], u[3], u[4], u[5]))
-    wanted = []
-    for (i, _), held in later.items():
-        runs = []
-        for unit in sorted(held):
-            if runs and runs[-1][-1][0] + 1 == unit[0]:
-                runs[-1].append(unit)
-            else:
-                runs.append([unit])
-        wanted += [(i, r[0][1], r[-1][2], len(r), sum(u[3] for u in r)) for r in runs if sum(u[3] for u in r) >= 10]
     got = rows_of(spans.select("doc_id", "start", "end", "n_units", "n_words"))
-    assert got == sorted(wanted, key=lambda r: tuple((x is not None, x) for x in r)) and len(got) >= 4
+    assert got == spans_by_brute_force(rows, 10) and len(got) >= 4
     left = {(r["doc_id"], r["text"]) for r in substring_dedup.remove_spans(docs, spans).collect()}
     assert (2, "Start of two.  End of two.") in left and (None, passage) in left and (4, "Nothing in common.") in left
     assert substring_dedup.repeated_spans(docs.limit(0), space(spark)).count() == 0
     for _, t in rows:
-        for a, b, _, _ in substring_dedup.units_of(t or ""):
+        for a, b, *_ in substring_dedup.units_of(t or ""):
             assert t[a:b] == t[a:b].strip() != ""
 
 
+def test_extensions_match_brute_force(spark):
+    """Passages glued into other texts at any word, wrapped anew, of short sentences, and one word over and over."""
+    rng = np.random.default_rng(11)
+    some = lambda n: [f"w{k}" for k in rng.integers(0, 5000, size=n)]
+    ends = lambda words, often: [w + ". " if rng.random() < often else w + " " for w in words]
+    passages = [ends(some(int(n)), p) for n, p in zip(rng.integers(20, 700, size=12), [0.1, 0.0, 0.5, 0.25] * 3)]
+    passages.append(["over "] * 300)
+    rows = []
+    for k in range(60):
+        p = passages[k % len(passages)]
+        a = int(rng.integers(0, len(p) // 3))
+        b = len(p) - int(rng.integers(0, len(p) // 3))
+        middle = "".join(p[a:b])
+        rows.append((k, "".join(ends(some(int(rng.integers(0, 60))), 0.1)) + (middle.replace(" ", "\n", 7) if k % 5 == 4 else middle) + "".join(ends(some(30), 0.1))))
+    spans = substring_dedup.repeated_spans(docs_of(spark, rows), space(spark), min_words=25)
+    got = rows_of(spans.select("doc_id", "start", "end", "n_units", "n_words"))
+    assert got == spans_by_brute_force(rows, 25) and len(got) >= 40
+    assert max(r[4] for r in got) > 300
+
+
 def test_substrings_glued_to_other_text(spark):
     inner = "it goes on from there for a while. A middle sentence stands whole in both of them! And then the last one runs"
     endless = " ".join(f"clause{k}" for k in range(60))
