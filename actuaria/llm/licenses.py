@@ -2,12 +2,13 @@
 
 Notices are looked for in the words around every license word, whatever the lines,
 so that wrapped notices, comment signs and notices inside longer lines are read
-alike.  Pairs of neighbouring words that a template shares with the text place the
-template; the part of the text that is aligned to it is the candidate block.  It
-is compressed alone and with the template as a raw zstandard dictionary, and of
-blocks that overlap the one that saves most bytes stays.  A block is confirmed by
-the exact wording: the words that it lacks or has beyond the template, where names
-and version numbers of a license must agree.
+alike; templates of a caller that hold no license word are looked for in whole texts.
+Pairs of neighbouring words that a template shares with the text place it; the part of
+the text that is aligned to it is a candidate block.  Every block is compressed alone
+and with each template as a raw zstandard dictionary, and the templates are ranked by
+the bytes that they save.  The first in that order whose wording is confirmed names
+the block: the words that it lacks or has beyond the template are few, and names and
+version numbers agree.  Of named blocks that overlap, the one that saves most bytes stays.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ HINTS = re.compile(
 )
 _HINT_PARTS = ("licen", "copyright", "reserved", "domain", "spdx", "permission", "redistribut", "warrant", "cc", "compliance")
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
-#: Characters read on both sides of a license word: more than the longest template holds.
+#: Characters read on both sides of a license word at least; otherwise twice the longest template.
 AROUND = 2000
 #: What stands between the words of a wrapped notice: a line break with white space and comment signs.
 _BREAK = re.compile(r"\s*\n\s*(?:(?:[#*;%!>|]+|/[/*]+|--+|<!--|dnl\b|rem\b)\s*)*", re.I)
@@ -126,20 +127,36 @@ def compressors(templates: tuple[tuple[str, str], ...], level: int = 19):
     return zstandard.ZstdCompressor(**options), tuple(made)
 
 
-def regions(text: str) -> Iterator[tuple[int, int]]:
-    """(start, end) of the parts of a text around its license words, cut at white space."""
+def regions(text: str, templates) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of a text around its license words, cut at white space.
+
+    The whole text if one of the templates holds no license word.
+    """
+    around, hinted = reach(templates)
+    if not hinted:
+        yield 0, len(text)
+        return
+    low = text.lower()
+    if not any(h in low for h in _HINT_PARTS):
+        return
     start = end = None
     for m in HINTS.finditer(text):
-        if start is not None and m.start() - AROUND > end:
+        if start is not None and m.start() - around > end:
             yield _whole(text, start, end)
             start = None
         if start is None:
-            start = max(0, m.start() - AROUND)
-        end = m.end() + AROUND
+            start = max(0, m.start() - around)
+        end = m.end() + around
     if start is not None:
         yield _whole(text, start, end)
 
 
+@lru_cache(maxsize=8)
+def reach(templates: tuple[tuple[str, str], ...]) -> tuple[int, bool]:
+    """How far from a license word a notice may go on, and whether all templates hold such words."""
+    return max([AROUND, *(2 * len(t) for _, t in templates)]), all(HINTS.search(t) for _, t in templates)
+
+
 def _whole(text: str, start: int, end: int) -> tuple[int, int]:
     while start > 0 and not text[start - 1].isspace():
         start -= 1
@@ -200,54 +217,87 @@ def align(template: list[str], words: list[str]) -> tuple[int, int, list[str], l
     return start, end, [w for i, w in enumerate(template) if i not in held], [words[i] for i in places], places
 
 
+def worded(known: tuple[list[str], frozenset[str]], block: list[str], after: list[str], most_missing: float) -> tuple[list[str], list[str]] | None:
+    """(missing, extra) of a block against a template, None if they are too many or tell of another license."""
+    template, telling = known
+    matcher = SequenceMatcher(None, template, block, autojunk=False)
+    same = [m for m in matcher.get_matching_blocks() if m.size]
+    held = {m.a + d for m in same for d in range(m.size)}
+    matched = {m.b + d for m in same for d in range(m.size)}
+    missing = [w for i, w in enumerate(template) if i not in held]
+    places = [i for i in range(len(block)) if i not in matched]
+    extra = [block[i] for i in places]
+    if telling & set(missing) or len(missing) > most_missing * len(template) or len(extra) > 0.5 * len(template):
+        return None
+    if any(re.search(r"\d", w) for w in telling) and any(re.search(r"\d", w) and w not in template and not _YEAR.fullmatch(w) for w in extra):
+        return None
+    if any(block[i] in RIVALS and [*block[i + 1 : i + 2], *after][:1] == ["general"] for i in places):
+        return None
+    return missing, extra
+
+
+def savings(raw: bytes, templates) -> tuple[int, list[int]]:
+    """The compressed size of a block, and the bytes that each template saves as its dictionary."""
+    plain, made = compressors(templates)
+    alone = len(plain.compress(raw))
+    return alone, [alone - len(c.compress(raw)) for _, c in made]
+
+
 def notices(text: str, templates, least_gain: float, most_missing: float) -> list[tuple[int, int, str, float, list[str], list[str]]]:
     """(start, end, license, gain, missing, extra) of the confirmed notices of a text, none overlapping."""
-    plain, made = compressors(templates)
     known = index(templates)[0]
     spans = [m.span() for m in _WORD.finditer(text)]
     words = [text[a:b].lower() for a, b in spans]
     confirmed = {}
 
-    def weigh(k: int, start: int, end: int, missing: list[str], extra: list[str], tag: str = "") -> None:
+    def name(start: int, end: int, tag: str = "") -> None:
+        """Rank all templates by the bytes they save on words start to end; the first that the wording confirms names them."""
         a, b = spans[start][0], _TAIL.match(text, spans[end - 1][1]).end()
         raw = (tag + _BREAK.sub(" ", text[a:b])).lower().encode("utf-8", "surrogatepass")
-        alone = len(plain.compress(raw))
-        saved = alone - len(made[k][1].compress(raw))
-        if saved >= least_gain * alone:
-            # Most bytes saved first; ties: fewer words differing, then the template's place in the list.
-            confirmed[start, end, k] = (-saved, len(missing) + len(extra), k, start, end, a, b, saved / alone, missing, extra)
-
-    tagged = {w[1]: k for k, (w, _) in enumerate(known) if len(w) == 2 and w[0] == _TAG}
+        block = wording(tag) + words[start:end]
+        alone, saved = savings(raw, templates)
+        best = None
+        for k in sorted(range(len(known)), key=lambda k: (-saved[k], k)):
+            if saved[k] < least_gain * alone or (best and saved[k] < -best[0]):
+                break
+            is_tag = known[k][0][0] == _TAG
+            if is_tag != (block[0] == _TAG):
+                continue
+            differing = worded(known[k], block, words[end : end + 1], 0 if is_tag else most_missing)
+            if differing is not None and not (is_tag and differing[1]):
+                # Most bytes saved first; ties: fewer words differing, then the template's place in the list.
+                found = (-saved[k], len(differing[0]) + len(differing[1]), k, start, end, a, b, saved[k] / alone, *differing)
+                best = min(best, found, key=lambda x: x[:3]) if best else found
+        if best:
+            confirmed[start, end] = best
+
+    tagged = {w[1] for w, _ in known if len(w) == 2 and w[0] == _TAG}
     for i in (i for i, w in enumerate(words) if w == _TAG):
         first = i
         for j in range(i + 1, len(words)):
             if "\n" in text[spans[i][1] : spans[j][0]]:
                 break
-            if (k := tagged.get(words[j])) is not None:
+            if words[j] in tagged:
                 # A further name of the same tag has its own place, and is weighed with the tag.
-                weigh(k, first, j + 1, [], [], "" if first == i else "SPDX-License-Identifier: ")
+                name(first, j + 1, "" if first == i else "SPDX-License-Identifier: ")
                 first = j + 1
             elif words[j] in ("and", "or", "with"):
                 first = j + 1
             else:
                 break
     done: dict[int, int] = {}
+    blocks = set()
     for k, low, high in placements(words, templates):
-        template, telling = known[k]
+        template = known[k][0]
         low = max(low, done.get(k, 0))  # behind the template's last notice
         if template[0] == _TAG or (found := align(template, words[low:high])) is None:
             continue
-        start, end, missing, extra, places = found
-        if telling & set(missing) or len(missing) > most_missing * len(template) or len(extra) > 0.5 * len(template):
-            continue
-        if any(re.search(r"\d", w) for w in telling) and any(
-            re.search(r"\d", w) and w not in template and not _YEAR.fullmatch(w) for w in extra
-        ):
-            continue
-        if any(words[low + i] in RIVALS and words[low + i + 1 : low + i + 2] == ["general"] for i in places):
-            continue
-        weigh(k, low + start, low + end, missing, extra)
-        done[k] = low + end
+        start, end, missing, _, _ = found
+        blocks.add((low + start, low + end))
+        if len(missing) <= most_missing * len(template):
+            done[k] = low + end
+    for start, end in sorted(blocks):
+        name(start, end)
     taken, kept = [], []
     for _, _, k, start, end, a, b, gain, missing, extra in sorted(confirmed.values(), key=lambda x: x[:5]):
         if all(end <= x or y <= start for x, y in taken):
@@ -275,7 +325,8 @@ def scan_licenses(
     saves most bytes stays, then the one with fewer differing words, then the first
     template.  Every name of an SPDX tag is a notice; names that no template has are
     none.  Of licenses longer than a page the templates hold titles and headers.
-    Null and empty texts, and texts without hints, give no row.  Null ids stay
+    Null and empty texts give no row, nor do texts without license words, unless one of
+    the ``templates`` holds none itself.  Null ids stay
     null, repeated rows give their notices each, whole long texts are read, an empty
     table gives an empty one.  Other columns are not read.  No shuffle.
     """
@@ -284,10 +335,7 @@ def scan_licenses(
         for batch in slices(batches, "text", 8 << 20):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
-                low = text.lower()
-                if not any(h in low for h in _HINT_PARTS) or not HINTS.search(text):
-                    continue
-                for at, end in regions(text):
+                for at, end in regions(text, templates):
                     for a, b, name, gain, missing, extra in notices(text[at:end], templates, least_gain, most_missing):
                         rows.append((doc_id, at + a, at + b, name, round(gain, 6), not missing and not extra, " ".join(missing), " ".join(extra)))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_(), pa.string(), pa.string()]

@@ -201,6 +201,55 @@ def test_licenses_over_lines_and_beside_other_words(spark):
     assert one == [(len(far) + 4, len(far) + 1 + len(texts[0]), "MIT")]
 
 
+def test_saved_bytes_decide_between_wordings_that_both_pass(spark):
+    shared = "Anyone who got a copy of these recipes can cook, share and sell what they describe as long as the name of the {} stays on the {} and nobody is told that the {} did it alone"
+    ours = (("House", shared.format("kitchen", "label", "cook")), ("Garden", shared.format("gardener", "basket", "weather")))
+    text = shared.format("gardener", "basket", "cook")
+    for templates in (ours, ours[::-1]):
+        known = licenses.index(templates)[0]
+        block = licenses.wording(text)
+        assert all(licenses.worded(k, block, [], 0.25) for k in known)  # the wording alone would take either
+        found = rows_of(licenses.scan_licenses(docs_of(spark, [(1, f"{LINE}\n{text}.\n{LINE}"), (2, LINE)]), templates).select("doc_id", "license", "missing", "extra"))
+        assert found == [(1, "Garden", "weather", "cook")]
+
+
+def test_ranking_matches_brute_force():
+    import zstandard
+
+    rng = np.random.default_rng(3)
+    options = {"level": 19, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+    tried = 0
+    for _, text in licenses.TEMPLATES:
+        words = text.split()
+        for _ in range(2):
+            changed = list(words)
+            if len(words) > 8:
+                changed.insert(int(rng.integers(2, len(words) - 2)), "indeed")
+            block = " ".join(changed).rstrip("/.")
+            raw = block.lower().encode()
+            ranked = []
+            for k, (name, template) in enumerate(licenses.TEMPLATES):
+                alone = len(zstandard.ZstdCompressor(**options).compress(raw))
+                held = zstandard.ZstdCompressionDict(template.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                saved = alone - len(zstandard.ZstdCompressor(dict_data=held, **options).compress(raw))
+                tag = template.startswith("SPDX")
+                differing = licenses.worded(licenses.index(licenses.TEMPLATES)[0][k], licenses.wording(block), [], 0 if tag else 0.25)
+                if saved >= 0.15 * alone and differing is not None and tag == block.startswith("SPDX"):
+                    ranked.append((-saved, len(differing[0]) + len(differing[1]), k, name, saved / alone))
+            found = [n for n in licenses.notices(block, licenses.TEMPLATES, 0.15, 0.25) if n[1] - n[0] == len(block)]
+            assert [(n[2], n[3]) for n in found] == [x[3:] for x in sorted(ranked)[:1]]
+            tried += len(found)
+    assert tried > len(licenses.TEMPLATES)
+
+
+def test_templates_without_license_words_and_of_many_pages(spark):
+    pages = " ".join(f"clause{k} binds party{k % 7} from day{k} on" for k in range(400))  # some 12,000 characters
+    own = (("House-1.0", "You can bake this cake at home but never sell a single slice of it"), ("Long", f"{pages} This is the whole license."))
+    texts = [f"{LONG}\n{own[0][1]}.\n{LONG}", f"{LINE}\n{own[1][1]}\n{LINE}", LONG, None, ""]
+    found = rows_of(licenses.scan_licenses(docs_of(spark, list(enumerate(texts))), own).select("doc_id", "license", "exact", "start"))
+    assert found == [(0, "House-1.0", True, len(LONG) + 1), (1, "Long", True, len(LINE) + 1)]
+
+
 # 3
 
 
