@@ -10,8 +10,9 @@ The index holds, in the shared folder,
 Inserting documents adds to the counts and adds the keys that reach the limit to
 their shard's filter.  Deleting documents subtracts, finds the next keeper and
 takes the keys that fall below the limit out of the filter, so it undoes the
-insert.  Cleaning asks the filters first: keys that they don't hold are no
-repeated lines; those that they hold are looked up in the exact table.
+insert.  Cleaning asks the filters first, for every line of every document: lines
+that they don't hold are no repeated lines; only those that they hold are looked up
+in the exact table.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from actuaria.llm.common import Workspace, slices, texts_of
 from actuaria.llm.cuckoo import CuckooFilter, Full
 
+#: Copies of a shard's filter, to which its lines are dealt by document.
+COPIES = 32
 STRIPPED = b" \t\n\x0b\x0c\r"
 
 
@@ -80,9 +84,17 @@ class LineIndex:
         return F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int")
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """The index with these documents.  Ids that it holds already must be deleted first."""
+        """The index with these documents.
+
+        A line counts once a document: lines that the index holds for an id already are
+        not counted again, new ones of a known id are added to it.
+        """
         w, g = self.work, self.generation + 1
-        added = w.write(postings_of(docs, self.min_chars), f"added-{g}")
+        added = postings_of(docs, self.min_chars)
+        if self.generation:
+            held = self.postings.select(F.col("key").alias("h_key"), F.col("doc_id").alias("h_id"))
+            added = added.join(held, (F.col("key") == F.col("h_key")) & F.col("doc_id").eqNullSafe(F.col("h_id")), "left_anti")
+        added = w.write(added, f"added-{g}")
         delta = added.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
         before = self.refs.withColumn("old", F.col("n_docs"))
         refs = w.write(
@@ -144,40 +156,51 @@ class LineIndex:
         filters = w.write(updated.filter("cells is not null").unionByName(rebuilt), f"filters-{g}")
         return LineIndex(w, postings, refs, filters, self.min_docs, self.min_chars, self.shards, g)
 
-    def may_repeat(self, keys: DataFrame) -> DataFrame:
-        """The rows of ``keys`` (key) that their shard's filter holds.
+    def may_repeat(self, lines: DataFrame) -> DataFrame:
+        """The rows of ``lines`` (key, doc_id, or key alone) whose keys their shard's filter holds.
 
-        Filters and keys are dealt by shard and sorted, the filter first, so a task
-        streams through any number of keys with one filter in memory.
+        Filters and lines are dealt by shard and sorted, the filter first, so a task
+        streams through any number of lines with one filter in memory.  The lines of a
+        shard are dealt further by document, to as many copies of its filter, so that a line
+        of very many documents is no single task's.
         """
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard, cuckoo = None, None
             for batch in batches:
-                cells, asked = batch.column("cells").to_pylist(), batch.column("key").to_pylist()
-                found: list[bytes] = []
-                waiting: list[bytes] = []
-                for number, data, key in zip(batch.column("shard").to_pylist(), cells, asked):
+                asked = batch.column("key").to_pylist()
+                hits = np.zeros(len(asked), dtype=bool)
+                waiting: list[int] = []
+                for i, (number, data) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("cells").to_pylist())):
                     if number != shard or data is not None:
                         if waiting and cuckoo is not None:
-                            found += [k for k, hit in zip(waiting, cuckoo.contains(waiting)) if hit]
+                            hits[waiting] = cuckoo.contains([asked[k] for k in waiting])
                         shard, cuckoo, waiting = number, CuckooFilter.of_bytes(data) if data is not None else None, []
                     if data is None:
-                        waiting.append(key)
+                        waiting.append(i)
                 if waiting and cuckoo is not None:
-                    found += [k for k, hit in zip(waiting, cuckoo.contains(waiting)) if hit]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["key"])
-
-        asked = keys.select(self.shard().alias("shard"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("cells"), "key")
-        held = self.filters.select("shard", F.lit(0).alias("kind"), "cells", F.lit(None).cast("binary").alias("key"))
-        return held.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(probe, "key binary")
+                    hits[waiting] = cuckoo.contains([asked[k] for k in waiting])
+                yield batch.filter(pa.array(hits)).select(["key", "doc_id"])
+
+        if "doc_id" not in lines.columns:
+            lines = lines.withColumn("doc_id", F.lit(None).cast("long"))
+        copies = F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))
+        asked = lines.select(
+            self.shard().alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(COPIES)).cast("int").alias("copy"), F.lit(1).alias("kind"),
+            F.lit(None).cast("binary").alias("cells"), "key", "doc_id",
+        )
+        held = self.filters.select(
+            "shard", copies.alias("copy"), F.lit(0).alias("kind"), "cells", F.lit(None).cast("binary").alias("key"),
+            F.lit(None).cast("long").alias("doc_id"),
+        )
+        dealt = held.unionByName(asked).repartition("shard", "copy").sortWithinPartitions("shard", "kind")
+        return dealt.mapInArrow(probe, "key binary, doc_id long")
 
     def repeated(self) -> DataFrame:
         """(doc_id, key): the lines to drop, those of repeated keys outside their keeper."""
-        w = self.work
-        hits = self.may_repeat(self.refs.select("key"))
-        exact = w.write(self.refs.filter(F.col("n_docs") >= self.min_docs).join(hits, "key", "left_semi"), f"repeated-{self.generation}")
-        return self.postings.join(exact, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
+        exact = self.refs.filter(F.col("n_docs") >= self.min_docs)
+        hits = self.may_repeat(self.postings)
+        return hits.join(exact, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
 
 
 def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:

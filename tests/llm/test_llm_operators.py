@@ -155,6 +155,22 @@ def test_deleting_undoes_inserting(spark):
     assert max(r["keeper"] for r in less.refs.filter("n_docs >= 5").collect()) == 38
 
 
+def test_lines_inserted_twice_count_once_and_filters_decide(spark):
+    long = "A line that is long enough to be looked at by the operator."
+    other = "Another line of more than forty characters that comes later."
+    rows = [(k, f"{long}\nown {k}") for k in range(3)] + [(None, long)]
+    once = line_dedup.LineIndex.empty(space(spark), min_docs=5).insert(docs_of(spark, rows))
+    twice = once.insert(docs_of(spark, [*rows, (0, f"{long}\n{other}")]))
+    assert rows_of(twice.refs.select("n_docs", "keeper")) == [(1, 0), (4, 2)] and twice.repeated().count() == 0
+    more = twice.insert(docs_of(spark, [(9, long)]))
+    assert rows_of(more.repeated().select("doc_id")) == [(None,), (0,), (1,), (2,)]
+    import dataclasses
+
+    unasked = dataclasses.replace(more, filters=more.filters.limit(0))
+    assert unasked.repeated().count() == 0  # no line comes to the exact counts but through the filters
+    assert rows_of(more.delete(docs_of(spark, [(9, "")])).repeated()) == []
+
+
 # 2
 
 
