@@ -227,6 +227,8 @@ def worded(known: tuple[list[str], frozenset[str]], block: list[str], after: lis
     missing = [w for i, w in enumerate(template) if i not in held]
     places = [i for i in range(len(block)) if i not in matched]
     extra = [block[i] for i in places]
+    if not matched or 0 not in matched or len(block) - 1 not in matched:
+        return None  # the part aligned to this template is another block
     if telling & set(missing) or len(missing) > most_missing * len(template) or len(extra) > 0.5 * len(template):
         return None
     if any(re.search(r"\d", w) for w in telling) and any(re.search(r"\d", w) and w not in template and not _YEAR.fullmatch(w) for w in extra):
