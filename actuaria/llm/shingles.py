@@ -16,11 +16,15 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << bits
-    up = np.full(n, BASE, dtype=np.uint64)
-    down = np.full(n, BASE_INVERSE, dtype=np.uint64)
+#: Bytes that are summed at once: what a worker keeps does not grow with the longest text.
+CHUNK = 1 << 18
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to n of the base and of its inverse."""
+    up = np.full(n + 1, BASE, dtype=np.uint64)
+    down = np.full(n + 1, BASE_INVERSE, dtype=np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 
@@ -41,9 +45,19 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not space[0]:
         bounds = np.concatenate([[0], bounds])
     starts, ends = bounds[0::2], bounds[1::2]
-    up, down = _powers(max(16, int(len(buffer)).bit_length()))
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(BYTE_VALUES[buffer] * up[: len(buffer)])])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    up, down = _powers(CHUNK)
+    # Sums up to each word's begin and end, chunk by chunk: what came before is carried as one number.
+    before, after, back = (np.empty(len(starts), dtype=np.uint64) for _ in range(3))
+    carried, factor, inverse = np.zeros(1, dtype=np.uint64), up[:1], down[:1]
+    for low in range(0, len(buffer), CHUNK):
+        part = buffer[low : low + CHUNK]
+        sums = np.concatenate([carried, carried + factor * np.cumsum(BYTE_VALUES[part] * up[: len(part)])])
+        begun = slice(*np.searchsorted(starts, [low, low + CHUNK]))
+        ended = slice(*np.searchsorted(ends, [low + 1, low + CHUNK + 1]))
+        before[begun], back[begun] = sums[starts[begun] - low], down[starts[begun] - low] * inverse
+        after[ended] = sums[ends[ended] - low]
+        carried, factor, inverse = sums[-1:], factor * up[-1:], inverse * down[-1:]
+    hashes = mix((after - before) * back + (ends - starts).astype(np.uint64))
     offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     return hashes, np.searchsorted(starts, offsets)
 
