@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from actuaria.llm.common import Workspace, sized, slices, texts_of
@@ -46,6 +46,8 @@ FREQUENT = 16
 #: Below this size a band's frequent tokens are signatures by themselves.
 SMALL = 20
 SLICE = 256 << 10
+#: Rows of one signature that a share holds where it is counted.
+HOT = 4096
 
 
 def losses(n: int, percent: int) -> int:
@@ -311,6 +313,20 @@ def compare_groups(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return full.repartition(*order).sortWithinPartitions(*order).mapInArrow(emit, "a long, b long")
 
 
+def met_signatures(signs: DataFrame, signed: DataFrame, work: Workspace) -> DataFrame:
+    """The rows of ``signs`` whose signature is no text's alone, with ``held``, the number of its rows.
+
+    The rows move once and are counted where they meet.  Only a signature of ``signed``, which may be frequent
+    tokens, can be hot: those are counted before, and their rows dealt over as many shares as they fill.
+    """
+    hot = work.write(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("all")).filter(F.col("all") >= HOT), "hot")
+    dealt = signs.join(sized(hot), "sig", "left")
+    shares = F.coalesce(F.ceil(F.col("all") / F.lit(HOT)), F.lit(1)).cast("int")
+    dealt = dealt.withColumn("share", F.pmod(F.xxhash64("cid"), shares).cast("int"))
+    here = F.count(F.lit(1)).over(Window.partitionBy("sig", "share"))
+    return dealt.withColumn("held", F.coalesce("all", here)).filter("held > 1").drop("all", "share")
+
+
 def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent: int = 80, block: int = 512) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``.
 
@@ -375,12 +391,11 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
     signed = hard.join(hard_often, "cid", "left").mapInArrow(sign, "cid long, n long, least long, sig long")
     signs = easy.unionByName(work.write(signed.distinct(), "signed"))
 
-    held = work.write(signs.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "held")
-    met = work.write(signs.join(held, "sig"), "met")
+    met = work.write(met_signatures(signs, signed, work), "met")
     big = F.col("held") >= FREQUENT
-    shares = met.groupBy("cid", "least").agg(F.count(F.lit(1)).alias("shares"), F.count_if(big).alias("big"))
-    shares = work.write(shares.filter("shares >= least"), "shares")
-    able = work.write(met.drop("least").join(shares, "cid"), "able")
+    own = Window.partitionBy("cid")
+    able = met.withColumn("shares", F.count(F.lit(1)).over(own)).withColumn("big", F.count_if(big).over(own))
+    able = work.write(able.filter("shares >= least"), "able")
 
     # Small buckets: the shared signatures of every pair are counted.  A pair that links
     # shares ``least`` of them, but for those that may lie in big buckets.

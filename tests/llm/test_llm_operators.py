@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from actuaria.llm import (
-    embedding_dedup, licenses, line_dedup, mixing, ngram_join, packing, quality, secrets, substring_dedup, toxicity,
+    embedding_dedup, licenses, line_dedup, mixing, ngram_join, packing, quality, secrets, shingles, substring_dedup, toxicity,
 )
 from actuaria.llm.common import Workspace, importable
 from actuaria.llm.components import connected_components
@@ -414,6 +414,7 @@ def brute_jaccard(rows, size, percent):
 @pytest.mark.parametrize("frequent, block", [(32, 512), (3, 8), (2, 4)])
 def test_jaccard_matches_brute_force(spark, monkeypatch, frequent, block):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_join, "HOT", 4 if frequent < 32 else 4096)
     rng = np.random.default_rng(frequent)
     vocabulary = [f"w{k}" for k in range(400)]
     text = lambda n: [str(w) for w in rng.choice(vocabulary, size=n)]
@@ -435,6 +436,17 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, frequent, block):
         assert rows_of(ngram_join.jaccard_components(docs, space(spark), size, percent, block)) == brute_jaccard(rows, size, percent)
 
 
+def test_word_hashes_do_not_depend_on_chunks(monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [bytes(rng.integers(65, 123, size=int(rng.integers(1, 30)), dtype=np.uint8)) for _ in range(400)]
+    texts = [b" ".join(words), b"", b" \n ", b"x" * 500, b" a\tB  c\n", b" ".join(words[:90]).lower()]
+    whole = shingle_sets(texts, 4)
+    for chunk in (1, 7, 64, 500):
+        monkeypatch.setattr(shingles, "CHUNK", chunk)
+        assert [s.tolist() for s in shingle_sets(texts, 4)] == [s.tolist() for s in whole]
+    assert [len(s) for s in whole[1:5]] == [0, 0, 1, 1]
+
+
 def test_jaccard_of_an_empty_table(spark):
     assert ngram_join.jaccard_components(docs_of(spark, EDGE).limit(0), space(spark)).count() == 0
 
