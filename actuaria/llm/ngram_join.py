@@ -247,16 +247,18 @@ def test_pairs(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) ->
                     out.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in out], pa.int64()) for i in (0, 1)], ["p", "x"])
 
-    narrow = sized(pairs.select("p", "x"))
+    # Who goes where is settled on ids alone: the sets move once to be asked for and once to where they are compared.
     shares = pairs.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / F.lit(256)).cast("int").alias("shares"))
-    pivots = sets.join(shares.withColumnRenamed("p", "cid"), "cid").select(
-        F.col("cid").alias("p"), F.lit(None).cast("long").alias("x"), "n", "tokens",
+    members = pairs.select("p", "x").join(shares, "p").select(
+        F.col("x").alias("asked"), "p", "x", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int").alias("share")
+    )
+    pivots = shares.select(
+        F.col("p").alias("asked"), "p", F.lit(None).cast("long").alias("x"),
         F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"),
     )
-    members = sets.join(narrow, F.col("cid") == F.col("x")).select("p", "x", "n", "tokens").join(shares, "p")
-    members = members.withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int")).drop("shares")
+    dealt = sets.join(sized(members.unionByName(pivots)), F.col("cid") == F.col("asked")).select("p", "x", "n", "tokens", "share")
     return (
-        members.unionByName(pivots).repartition("p", "share").sortWithinPartitions("p", "share", F.col("x").asc_nulls_first())
+        dealt.repartition("p", "share").sortWithinPartitions("p", "share", F.col("x").asc_nulls_first())
         .select("p", "x", "n", "tokens").mapInArrow(emit, "p long, x long")
     )
 
