@@ -391,7 +391,8 @@ def jaccard_components(docs: DataFrame, work: Workspace, size: int = 5, percent:
                 yield pa.RecordBatch.from_arrays([*columns[:2], pa.array(np.ones(len(columns[0]), dtype=np.int64)), columns[2]], ["cid", "n", "least", "sig"])
 
     signed = hard.join(hard_often, "cid", "left").mapInArrow(sign, "cid long, n long, least long, sig long")
-    signs = easy.unionByName(work.write(signed.distinct(), "signed"))
+    signed = work.write(signed.distinct(), "signed")
+    signs = easy.unionByName(signed)
 
     met = work.write(met_signatures(signs, signed, work), "met")
     big = F.col("held") >= FREQUENT
