@@ -15,6 +15,9 @@ above.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ LEGACY_COLUMNS = [
     "acs05_total_population", "acs05_speak_english_only", "ingested_at", "batch_id",
 ]
 
+DIMENSION_ROWS = 100_000  # up to so many rows the dimensions are taken to be broadcast, so that premiums stay where they are
+
 REQUIRED = {
     "territory": {"territory", "zipcode", "area", "town", "county"},
     "premiums": {"territory"},
@@ -137,12 +142,13 @@ def fact_legacy(premiums: DataFrame, territory: DataFrame, dp03: DataFrame, dp05
     ).select(*LEGACY_COLUMNS)
 
 
-def by_time(df: DataFrame, times: DataFrame, rows_per_file: int = 50_000) -> DataFrame:
+def by_time(df: DataFrame, times: DataFrame, rows_per_file: int = 50_000, most_rows: int = 500_000) -> DataFrame:
     """``df`` dealt by ``ingested_at`` so that files are narrow in time, and sorted in each; nulls come first.
 
     ``times`` has the column ``ingested_at`` alone, of the same rows or about the same: a count per day tells which
     partitions a day fills, so ``df`` itself is not run for a sample.  A day that fills several is spread over them by a hash.  The days
-    are one row each, so their running total is a small window and they are broadcast.
+    are one row each, so their running total is a small window and they are broadcast.  Partitions hold about ``most_rows`` at most
+    whatever their usual number, so that they are sorted in memory.
     """
     spark = df.sparkSession
     days = times.groupBy(F.to_date("ingested_at").alias("__day")).agg(F.count(F.lit(1)).alias("n"))
@@ -150,6 +156,7 @@ def by_time(df: DataFrame, times: DataFrame, rows_per_file: int = 50_000) -> Dat
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
         n = min(n, -(-total // rows_per_file))
+    n = max(n, -(-total // most_rows))
     before = Window.orderBy(F.col("__day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     place = days.select("__day", (F.coalesce(F.sum("n").over(before), F.lit(0)) * n / total).alias("__begin"), (F.col("n") * n / total).alias("__share"))
     columns = df.columns
@@ -160,6 +167,27 @@ def by_time(df: DataFrame, times: DataFrame, rows_per_file: int = 50_000) -> Dat
     return placed.repartitionById(n, number).select(*columns).sortWithinPartitions("ingested_at")
 
 
+def in_slices(table: DataFrame, sizes: Mapping[str, int], least: int = 8 << 20, most: int = 64) -> DataFrame:
+    """``table``, partitioned by ``batch_id``, as a union of scans of consecutive batches: a task reads batches near in time.
+
+    What is made of it row by row and written stays as narrow in time as its files, without a shuffle.  ``sizes`` are the bytes of
+    the batches; a slice has about ``least`` or more, and there are ``most`` slices at most.  Null batches are in the first.
+    """
+    total = sum(sizes.values())
+    n = max(1, min(most, total // least))
+    first, before = {}, 0
+    for batch in sorted(sizes):
+        first.setdefault(before * n // max(1, total), batch)
+        before += sizes[batch]
+    bounds, batch_id = [*first.values()], F.col("batch_id")
+    if len(bounds) < 2:
+        return table
+    parts = [table.where(batch_id.isNull() | (batch_id < bounds[1]))]
+    parts += [table.where((batch_id >= a) & (batch_id < b)) for a, b in zip(bounds[1:], bounds[2:])]
+    parts.append(table.where(batch_id >= bounds[-1]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_fact(df: DataFrame, path: str, times: DataFrame | None = None) -> int:
     """Rebuild a fact table; returns its rows (S25, S26), observed while writing.
 

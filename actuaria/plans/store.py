@@ -6,6 +6,9 @@ source folder writes
 
 * ``silver/{territory,dp03,dp05}``    small dimension tables
 * ``silver/premiums``                 the premiums join, partitioned by batch
+
+and the first query on either of
+
 * ``gold/fact_current``, ``gold/fact_legacy``  full rebuilds, clustered by time
 
 under the session's shared checkpoint folder, and every later query reads the
@@ -18,10 +21,12 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +37,7 @@ from actuaria.session import shared_dir
 from actuaria.sources import binding, files
 
 _LOCK = threading.RLock()
+DIMENSIONS = ("territory", "dp03", "dp05")
 EVOLVE_AT = "1998-01"  # first batch carrying the added columns (schema v2)
 _LAKES: dict[tuple[str, str], "Lake"] = {}
 
@@ -65,7 +71,7 @@ class Lake:
         obs = Observation("rows_premiums")
         times = binding.table(spark, src, "lineitem").select(F.col("l_shipdate").alias("ingested_at"))
         (
-            gold.by_time(binding.premiums(spark, src), times).observe(obs, F.count(F.lit(1)).alias("rows"))
+            binding.shaped(gold.by_time(binding.joined(spark, src), times)).observe(obs, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(self.path("silver", "premiums"))
         )
         return int(obs.get["rows"])
@@ -81,16 +87,27 @@ class Lake:
         small = {"territory": binding.territory, "dp03": binding.census_dp03, "dp05": binding.census_dp05}
         writes = {name: partial(self._write, read(spark, src).coalesce(1), "silver", name) for name, read in small.items()}
         self._together(premiums=self._write_premiums, **writes)
-        silver = self.silver()
-        dims = self.dim("territory"), self.dim("dp03"), self.dim("dp05")
-        # Gold is a full rebuild that never reads what it replaces.
-        self._together(
-            fact_current=lambda: gold.write_fact(gold.fact_current(silver, *dims), self.path("gold", "fact_current"), silver),
-            fact_legacy=lambda: gold.write_fact(gold.fact_legacy(silver, *dims), self.path("gold", "fact_legacy"), silver),
-        )
         self.built = True
         return self
 
+    def _batch_bytes(self) -> dict[str, int]:
+        """The bytes of every batch of the written premiums."""
+        found = Counter()
+        for path, length, _ in files.tree(self.spark, self.path("silver", "premiums")):
+            folder = path.rsplit("/", 2)[1]
+            if folder.startswith("batch_id=") and not folder.endswith("=__HIVE_DEFAULT_PARTITION__"):
+                found[unquote(folder.removeprefix("batch_id="))] += length
+        return dict(found)
+
+    def _write_fact(self, name: str) -> int:
+        # Gold is a full rebuild that never reads what it replaces.  Silver is clustered by
+        # time; beside broadcast dimensions its rows stay where they are.
+        shape = {"fact_current": gold.fact_current, "fact_legacy": gold.fact_legacy}[name]
+        silver, dims = self.silver(), [self.dim(d) for d in DIMENSIONS]
+        if sum(self.rows[d] for d in DIMENSIONS) > gold.DIMENSION_ROWS:
+            return gold.write_fact(shape(silver, *dims), self.path("gold", name), silver)
+        return self._write(shape(gold.in_slices(silver, self._batch_bytes()), *dims), "gold", name)
+
     # -- read ----------------------------------------------------------------
     def dim(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path("silver", name))
@@ -106,11 +123,17 @@ class Lake:
     def silver(self) -> DataFrame:
         return self._table("silver", "premiums", "premiums")
 
+    def _fact(self, name: str, kind: str) -> DataFrame:
+        with _LOCK:
+            if name not in self.rows:
+                self.rows[name] = self._write_fact(name)
+            return self._table("gold", name, kind)
+
     def fact_current(self) -> DataFrame:
-        return self._table("gold", "fact_current", "current")
+        return self._fact("fact_current", "current")
 
     def fact_legacy(self) -> DataFrame:
-        return self._table("gold", "fact_legacy", "legacy")
+        return self._fact("fact_legacy", "legacy")
 
     def evolving_premiums(self) -> DataFrame:
         """Silver premiums as two schema generations.

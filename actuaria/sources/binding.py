@@ -37,33 +37,39 @@ def _dec(text: str, typ: str) -> Column:
     return F.lit(Decimal(text)).cast(typ)
 
 
-def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver ``stg_premiums``: policy rows with lineage and legacy columns.
+def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ supplier ⋈ orders: the narrow columns that ``shaped`` makes the premiums from, with ``ingested_at``.
 
-    Plan: plain joins, no hints.  lineitem ⋈ orders is a shuffle join at size, and
-    as its exchanges are the planner's own, Spark splits a skewed key; supplier is
-    broadcast while its bytes are under Spark's threshold.
+    Plan: plain joins, no hints.  Supplier is broadcast while its bytes are under Spark's
+    threshold and comes first, so that its key doesn't move; lineitem ⋈ orders is a shuffle join
+    at size, and as its exchanges are the planner's own, Spark splits a skewed key.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    od = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % 100).alias("customer"), F.to_date("o_orderdate").alias("order_day"),
+        (F.col("o_orderpriority") == BLANK_BIRTH_PRIORITY).alias("low"),
+    )
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    joined = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(su, F.col("l_suppkey") == F.col("s_suppkey"))
-
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    disc = F.col("l_discount").cast("decimal(3,2)")
-    nation = F.col("s_nationkey")
-    ship_day = F.to_date("l_shipdate").cast("string")
-    birth = F.concat(
-        (F.lit(1900) + F.col("o_custkey") % 100).cast("string"),
-        F.substring(F.to_date("o_orderdate").cast("string"), 5, 6),
+    rows = li.join(su, F.col("l_suppkey") == F.col("s_suppkey")).join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(
+        F.col("s_nationkey").alias("nation"), "l_linenumber", "l_quantity", F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        F.col("l_discount").cast("decimal(3,2)").alias("discount"), "l_tax", "l_returnflag", "l_linestatus",
+        F.col("l_shipdate").alias("ingested_at"), "customer", "order_day", "low",
     )
-    blank_birth = (F.col("o_orderpriority") == BLANK_BIRTH_PRIORITY) & (F.col("l_linenumber") == BLANK_BIRTH_LINE)
 
-    return joined.select(
+
+def shaped(rows: DataFrame) -> DataFrame:
+    """The premiums' columns, each made from its row of ``joined`` alone."""
+    price, disc, nation = F.col("price"), F.col("discount"), F.col("nation")
+    ship_day = F.to_date("ingested_at").cast("string")
+    birth = F.concat((F.lit(1900) + F.col("customer")).cast("string"), F.substring(F.col("order_day").cast("string"), 5, 6))
+    blank_birth = F.col("low") & (F.col("l_linenumber") == BLANK_BIRTH_LINE)
+
+    return rows.select(
         nation.cast("int").alias("territory"),
         F.when(F.col("l_returnflag") == "A", "F").when(F.col("l_returnflag") == "R", "M").alias("gender"),
         F.when(blank_birth, F.lit("")).otherwise(birth).alias("birthdate"),
@@ -78,11 +84,11 @@ def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("decimal(18,4)").alias("underlying_total_premium"),
         (F.lit(1.0) + F.col("l_tax")).cast("decimal(5,2)").alias("cgr_factor"),
         F.concat(F.col("l_linestatus"), F.col("l_returnflag")).alias("cgr"),
-        F.col("l_shipdate").alias("ingested_at"),
+        "ingested_at",
         F.substring(ship_day, 1, 7).alias("batch_id"),
         # legacy-only columns of the premiums file
         (F.lit(ZIP_BASE) + nation).cast("string").alias("GEO_id"),
-        (F.lit(ZIP_BASE) + F.col("o_custkey") % 25).cast("string").alias("zipcode"),
+        (F.lit(ZIP_BASE) + F.col("customer") % 25).cast("string").alias("zipcode"),
         F.lit("XX").alias("state_province_code"),
         nation.cast("bigint").alias("county_code"),
         (F.lit(24000) + nation).cast("bigint").alias("fips_county_code"),
@@ -91,6 +97,11 @@ def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver ``stg_premiums``: policy rows with lineage and legacy columns."""
+    return shaped(joined(spark, sf_dir))
+
+
 def territory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Territory definitions: (territory, area, town, county, zipcode)."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
