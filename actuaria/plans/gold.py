@@ -215,8 +215,12 @@ def build_gold(spark: SparkSession, root: str) -> int:
         df = silver.read_silver(spark, root, name.removeprefix("stg_"))
         require_columns(df, role)
         frames[role] = silver.latest_batch(df)
-    fact = fact_current(frames["premiums"], frames["territory"], frames["dp03"], frames["dp05"])
-    clustered = by_time(fact, frames["premiums"].select("ingested_at"))
+    premiums, dims = frames["premiums"], [frames[role] for role in ("territory", "dp03", "dp05")]
+    times = premiums.select("ingested_at")
+    if sum(d.count() for d in dims) <= DIMENSION_ROWS:  # the premiums move alone, before the territories' towns multiply them
+        clustered = fact_current(by_time(premiums.select(*PREMIUM_COLUMNS, "territory"), times), *dims)
+    else:
+        clustered = by_time(fact_current(premiums, *dims), times)
     return published.publish(spark, clustered, f"{root}/gold/fact_current", check_fact)[1]
 
 

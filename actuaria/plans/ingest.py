@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from actuaria.constants import AS_OF
 from actuaria.plans import gold, sketches
-from actuaria.plans.store import lake
+from actuaria.plans.store import kept, lake
 from actuaria.session import shared_dir
 from actuaria.sources import binding, catalog, declared, files, landing, silver, split_csv
 from actuaria.streaming import ingest_stream
@@ -57,13 +57,18 @@ def csv_quoted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimensions by the stream, premiums by the batch job, one ledger, silver, published gold; the fact by town."""
-    lk, root = lake(spark, sf_dir), _fresh(spark, "ingest")
+    lk, root = kept(spark, sf_dir), _fresh(spark, "ingest")
+    if lk:
+        premiums, territory, dp03, dp05 = lk.silver(), lk.dim("territory"), lk.dim("dp03"), lk.dim("dp05")
+    else:  # the files alone don't need a lake
+        premiums = binding.premiums(spark, sf_dir)
+        territory, dp03, dp05 = (read(spark, sf_dir).coalesce(1) for read in (binding.territory, binding.census_dp03, binding.census_dp05))
     geo = lambda df: df.withColumnRenamed("GEO_id2", "GEO.id2")
-    for name, df in (("territory", lk.dim("territory")), ("acs_dp03", geo(lk.dim("dp03"))), ("acs_dp05", geo(lk.dim("dp05")))):
+    for name, df in (("territory", territory), ("acs_dp03", geo(dp03)), ("acs_dp05", geo(dp05))):
         _land(spark, df, root, name)
     schemas = declared.schemas_for(["premiums", "territory", "acs_dp03", "acs_dp05"])
     ingest_stream.run_available(spark, f"{root}/landing", root, schemas, after=ingest_stream.to_silver(root))
-    _land(spark, lk.silver().select(*declared.PREMIUMS.names), root, "premiums")
+    _land(spark, premiums.select(*declared.PREMIUMS.names), root, "premiums")
     landing.ingest(spark, f"{root}/landing", root, AS_OF.strftime("%Y%m%d"), AS_OF, schemas)
     silver.load_all(spark, root, ["premiums"], AS_OF)
     gold.build_gold(spark, root)

@@ -169,6 +169,14 @@ def fingerprint(spark: SparkSession, src: str) -> str:
     return h.hexdigest()
 
 
+def kept(spark: SparkSession, sf_dir: str) -> Lake | None:
+    """The lake of ``sf_dir`` if this application has one and no source file changed since."""
+    src = files.qualified(spark, sf_dir)
+    with _LOCK:
+        found = _LAKES.get((spark.sparkContext.applicationId, src))
+        return found if found and found.state == fingerprint(spark, src) else None
+
+
 def lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> Lake:
     """The built lake for ``sf_dir``: built on first use and again when a source file changes.
 

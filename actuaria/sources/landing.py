@@ -96,7 +96,7 @@ def _typed(raw: DataFrame, header: tuple[str, ...], declared: T.StructType | Non
             out.append(name(c))
     out += [F.lit(None).cast(k).alias(c) for c, k in kinds.items() if c not in header]
     record = F.coalesce(name(CORRUPT), F.to_csv(F.struct(*[name(c) for c in header])))
-    typed = raw.select(*out, name(FILE), bad.alias("_bad"), record.alias("_record"))
+    typed = raw.select(*out, name(FILE), bad.alias("_bad"), F.when(bad, record).alias("_record"))
     return typed, F.col("_bad")
 
 
@@ -110,7 +110,7 @@ def _load(
     """
     typed, bad = _typed(_read(spark, [f.path for f in group], header), header, declared)
     staging = f"{root}/_staging/{dataset}/batch_id={batch_id}"
-    typed.write.mode("overwrite").parquet(staging)
+    typed.write.mode("overwrite").option("compression", "zstd").parquet(staging)
     staged = spark.read.schema(typed.schema).parquet(staging)
     lineage = [F.lit(batch_id).alias("batch_id"), F.col(FILE).alias("source_file")]
 
