@@ -79,9 +79,15 @@ def ingest_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _generations(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The premiums' rows in any order: of the lake that is there, else from the tables, of which only the columns that are used move."""
+    lk = kept(spark, sf_dir)
+    return lk.silver() if lk else binding.premiums(spark, sf_dir)
+
+
+def _generations(premiums: DataFrame) -> list[DataFrame]:
     """The premiums of three times: with narrow types, with wider ones and the cgr columns, with text."""
-    src = lake(spark, sf_dir).silver().select("batch_id", "ingested_at", "territory", "ypc", "current_premium", "cgr")
+    src = premiums.select("batch_id", "ingested_at", "territory", "ypc", "current_premium", "cgr")
     old = src.where(F.col("batch_id") < WIDE_AT).select("batch_id", "ingested_at", "territory", "ypc", F.col("current_premium").cast("decimal(12,2)").alias("current_premium"))
     wide = src.where((F.col("batch_id") >= WIDE_AT) & (F.col("batch_id") < TEXT_AT))
     wide = wide.withColumn("territory", F.col("territory").cast("long")).withColumn("current_premium", F.col("current_premium").cast("decimal(20,4)"))
@@ -90,16 +96,20 @@ def _generations(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def _by_batch(df: DataFrame) -> DataFrame:
-    return df.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("record_count"), F.sum("territory").alias("territories"), F.min("ypc").alias("least_ypc"),
-        F.max("ypc").alias("most_ypc"), F.sum("current_premium").cast("decimal(38,4)").alias("total_premium"), F.count("cgr").alias("cgr_populated"),
+    # Spark sorts all rows for the least and greatest text of a group: the rows are hashed into (batch, ypc) first, and those are sorted.
+    held = df.groupBy("batch_id", "ypc").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("territory").alias("territories"), F.sum("current_premium").alias("premium"), F.count("cgr").alias("cgr"),
+    )
+    return held.groupBy("batch_id").agg(
+        F.sum("n").alias("record_count"), F.sum("territories").alias("territories"), F.min("ypc").alias("least_ypc"),
+        F.max("ypc").alias("most_ypc"), F.sum("premium").cast("decimal(38,4)").alias("total_premium"), F.sum("cgr").alias("cgr_populated"),
     )
 
 
 def schema_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches whose columns grow from int to long, decimal to wider decimal and int to text, read as one table."""
     root = _fresh(spark, "widen")
-    for part in _generations(spark, sf_dir):
+    for part in _generations(lake(spark, sf_dir).silver()):  # clustered by time: a task writes few batches
         silver.write_silver(spark, root, "premiums", part, AS_OF)
     return _by_batch(silver.read_silver(spark, root, "premiums"))
 
@@ -109,7 +119,7 @@ def catalog_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _fresh(spark, "catalog")
     database = f"silver_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {catalog.quoted(database)} LOCATION '{root}/warehouse'")
-    for part in _generations(spark, sf_dir):
+    for part in _generations(_premiums(spark, sf_dir)):
         catalog.load(spark, root, database, "premiums", part)
     return _by_batch(spark.table(f"{catalog.quoted(database)}.stg_premiums"))
 
