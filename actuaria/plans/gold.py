@@ -167,6 +167,13 @@ def by_time(df: DataFrame, times: DataFrame, rows_per_file: int = 50_000, most_r
     return placed.repartitionById(n, number).select(*columns).sortWithinPartitions("ingested_at")
 
 
+def at_once(times: DataFrame) -> bool:
+    """Whether all rows have the same ``ingested_at``, as those of a batch that was stamped in one load: none can be dealt by it."""
+    at = F.col("ingested_at")
+    first, last, known, rows = times.agg(F.min(at), F.max(at), F.count(at), F.count(F.lit(1))).first()
+    return first == last and known in (0, rows)
+
+
 def in_slices(table: DataFrame, sizes: Mapping[str, int], least: int = 8 << 20, most: int = 64) -> DataFrame:
     """``table``, partitioned by ``batch_id``, as a union of scans of consecutive batches: a task reads batches near in time.
 
@@ -217,7 +224,9 @@ def build_gold(spark: SparkSession, root: str) -> int:
         frames[role] = silver.latest_batch(df)
     premiums, dims = frames["premiums"], [frames[role] for role in ("territory", "dp03", "dp05")]
     times = premiums.select("ingested_at")
-    if sum(d.count() for d in dims) <= DIMENSION_ROWS:  # the premiums move alone, before the territories' towns multiply them
+    if at_once(times):  # the rows stay where they are
+        clustered = fact_current(premiums, *dims)
+    elif sum(d.count() for d in dims) <= DIMENSION_ROWS:  # the premiums move alone, before the territories' towns multiply them
         clustered = fact_current(by_time(premiums.select(*PREMIUM_COLUMNS, "territory"), times), *dims)
     else:
         clustered = by_time(fact_current(premiums, *dims), times)

@@ -30,7 +30,7 @@ import re
 from collections.abc import Mapping
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,25 +106,40 @@ def _load(
 ) -> tuple[dict[str, tuple[int, int]], str]:
     """Write one group's bronze and quarantine partitions; (rows, bad rows) per file, and the schema of the rows.
 
-    The CSV is parsed once, into a staging table that both writes and the tallies read.
+    Good records go from the parser to bronze.  Only the files that turn out to hold bad ones are parsed once more, into a staging
+    table that the quarantine and their tallies read; the tallies of the others are bronze's own.
     """
-    typed, bad = _typed(_read(spark, [f.path for f in group], header), header, declared)
-    staging = f"{root}/_staging/{dataset}/batch_id={batch_id}"
-    typed.write.mode("overwrite").option("compression", "zstd").parquet(staging)
-    staged = spark.read.schema(typed.schema).parquet(staging)
     lineage = [F.lit(batch_id).alias("batch_id"), F.col(FILE).alias("source_file")]
 
+    def parsed(some: list[FileInfo]) -> tuple[DataFrame, Column]:
+        return _typed(_read(spark, [f.path for f in some], header), header, declared)
+
     def put(df: DataFrame, folder: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(
             "batch_id", "source_file"
         ).parquet(f"{root}/{folder}/{dataset}")
 
-    good = staged.where(~bad).drop("_bad", "_record").withColumn("ingested_at", stamp)
-    put(good.select("*", *lineage).drop(FILE), "bronze")
-    if staged.where(bad).head(1):
+    typed, bad = parsed(group)
+    obs = Observation(f"bronze_{dataset}")
+    seen = typed.observe(obs, F.collect_set(FILE).alias("files"), F.collect_set(F.when(bad, F.col(FILE))).alias("broken"))
+    good = seen.where(~bad).drop("_bad", "_record").withColumn("ingested_at", stamp)
+    bronze = good.select("*", *lineage).drop(FILE)
+    put(bronze, "bronze")
+    broken, counts = set(obs.get["broken"]), {}
+    if broken:
+        typed, bad = parsed([f for f in group if f.name in broken])
+        staging = f"{root}/_staging/{dataset}/batch_id={batch_id}"
+        typed.write.mode("overwrite").option("compression", "zstd").parquet(staging)
+        staged = spark.read.schema(typed.schema).parquet(staging)
         put(staged.where(bad).select(F.col("_record").alias("record"), *lineage), "quarantine")
-    counted = staged.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
-    return {r[FILE]: (int(r["rows"]), int(r["bad"])) for r in counted.collect()}, good.drop(FILE).schema.json()
+        counted = staged.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"))
+        counts = {r[FILE]: (int(r["rows"]), int(r["bad"])) for r in counted.collect()}
+    whole = sorted(set(obs.get["files"]) - broken)
+    if whole:
+        written = spark.read.schema(bronze.schema).parquet(f"{root}/bronze/{dataset}")
+        written = written.where((F.col("batch_id") == batch_id) & F.col("source_file").isin(whole))
+        counts |= {r["source_file"]: (int(r["count"]), 0) for r in written.groupBy("source_file").count().collect()}
+    return counts, good.drop(FILE).schema.json()
 
 
 def load_files(

@@ -49,7 +49,7 @@ def publish(
     folder = f"{table}/data/{name}"
     try:
         obs = Observation("published")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(folder)
         rows = int(obs.get["rows"])
         written = spark.read.parquet(folder)
         if written.count() != rows:

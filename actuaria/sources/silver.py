@@ -58,23 +58,32 @@ def by_generation(spark: SparkSession, base: str, generations: list[tuple[T.Stru
     return table
 
 
-def read_bronze(spark: SparkSession, root: str, dataset: str, batch_ids: Iterable[str] | None = None) -> DataFrame:
-    """Bronze rows of all batches, or of the named ones, with ``batch_id``; files are as the ledger describes them."""
+def _bronze(spark: SparkSession, root: str, dataset: str, batch_ids: Iterable[str] | None = None) -> tuple[DataFrame, set[str]]:
+    """The rows of ``read_bronze``, and the batches that they are of."""
     last = Window.partitionBy("batch_id", "file").orderBy(F.desc("at"))
     told = ledger.entries(spark, root).filter((F.col("dataset") == dataset) & (F.col("status") == "loaded"))
     if batch_ids is not None:
         told = told.filter(F.col("batch_id").isin(list(batch_ids)))
     told = told.withColumn("__n", F.row_number().over(last)).filter("__n = 1")
+    rows = (
+        told.groupBy("schema", "batch_id").agg(F.collect_list("file").alias("files"))
+        .groupBy("schema").agg(F.collect_list(F.struct("batch_id", "files")).alias("batches"), F.min("batch_id").alias("first"))
+        .orderBy("first", "schema").collect()
+    )
+    if not rows:
+        raise ValueError(f"bronze holds nothing of {dataset}")
     generations = [
         (T.StructType.fromJson(json.loads(r["schema"])),
          [(F.col("batch_id") == b["batch_id"]) & F.col("source_file").isin(b["files"]) for b in sorted(r["batches"])])
-        for r in told.groupBy("schema", "batch_id").agg(F.collect_list("file").alias("files"))
-        .groupBy("schema").agg(F.collect_list(F.struct("batch_id", "files")).alias("batches"), F.min("batch_id").alias("first"))
-        .orderBy("first", "schema").collect()
+        for r in rows
     ]
-    if not generations:
-        raise ValueError(f"bronze holds nothing of {dataset}")
-    return by_generation(spark, f"{root}/bronze/{dataset}", generations, ["batch_id", "source_file"]).drop("source_file")
+    table = by_generation(spark, f"{root}/bronze/{dataset}", generations, ["batch_id", "source_file"]).drop("source_file")
+    return table, {b["batch_id"] for r in rows for b in r["batches"]}
+
+
+def read_bronze(spark: SparkSession, root: str, dataset: str, batch_ids: Iterable[str] | None = None) -> DataFrame:
+    """Bronze rows of all batches, or of the named ones, with ``batch_id``; files are as the ledger describes them."""
+    return _bronze(spark, root, dataset, batch_ids)[0]
 
 
 SCHEMA_LOG = "dataset string, batch_id string, generation string, schema string, rows long, appended boolean, at timestamp_ntz"
@@ -107,17 +116,18 @@ def load_silver(
     contract: T.StructType | None = None,
 ) -> int:
     """Load bronze batches of ``dataset`` into silver; returns rows written."""
-    df = sanitize(read_bronze(spark, root, dataset, None if batch_ids is None else list(batch_ids)))
-    return write_silver(spark, root, dataset, df, loaded_at, restamp, mode, contract)
+    df, batches = _bronze(spark, root, dataset, None if batch_ids is None else list(batch_ids))
+    return write_silver(spark, root, dataset, sanitize(df), loaded_at, restamp, mode, contract, batches.pop() if len(batches) == 1 else None)
 
 
 def write_silver(
     spark: SparkSession, root: str, dataset: str, df: DataFrame, loaded_at: _dt.datetime, restamp: bool = False,
-    mode: str = "overwrite", contract: T.StructType | None = None,
+    mode: str = "overwrite", contract: T.StructType | None = None, batch: str | None = None,
 ) -> int:
     """Write batches (``batch_id``) of a silver table in the schema of ``df`` and tell the schema ledger; returns rows written.
 
-    The rows come first and the ledger last, so a load that is lost in between leaves what was read before.
+    The rows come first and the ledger last, so a load that is lost in between leaves what was read before.  ``batch`` names the
+    batch of all rows where they are of one: Spark sorts rows by the columns of the written table's partitions, but not by literals.
     """
     stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     df = df.withColumn("loaded_at", stamp)
@@ -128,11 +138,13 @@ def write_silver(
     fields = [f for f in df.schema.fields if f.name not in ("batch_id", "__record")]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields]).json()
     generation = hashlib.sha256(schema.encode()).hexdigest()[:16]
-    good = (df.where("__record IS NULL") if contract else df).select(*[f.name for f in fields], "batch_id", F.lit(generation).alias("generation"))
+    good = (df.where("__record IS NULL") if contract else df).select(*[f.name for f in fields], "batch_id")
+    folders = {"generation": F.lit(generation)} | ({} if batch is None else {"batch_id": F.lit(batch)})
     obs = Observation(f"silver_{dataset}")
     (
-        good.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("batch_id").alias("batches"))
-        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "generation").parquet(f"{root}/silver/{dataset}")
+        good.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("batch_id").alias("batches")).withColumns(folders)
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+        .partitionBy("batch_id", "generation").parquet(f"{root}/silver/{dataset}")
     )
     if contract:
         held = df.where("__record IS NOT NULL").select(F.col("__record").alias("record"), "batch_id")
